@@ -4,6 +4,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import chars
 from .constants import (
@@ -11,7 +12,7 @@ from .constants import (
 )
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def _nfkc_batch(text: pa.Array) -> pa.Array:
     return pc.utf8_normalize(text, form="NFKC")
 
