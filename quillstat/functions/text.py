@@ -1,7 +1,8 @@
 """Cleaning, normalising and rounding expressions over string columns."""
 
+import unicodedata
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -14,7 +15,10 @@ from .constants import (
 
 @F.arrow_udf(StringType())
 def _nfkc_batch(text: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(text, form="NFKC")
+    # Arrow's own utf8_normalize leaves NFKC decomposed, so each text goes through Python.
+    return pa.array(
+        [None if t is None else unicodedata.normalize("NFKC", t) for t in text.to_pylist()],
+        pa.string())
 
 
 def nfkc(text: Column, wanted: Column | None = None) -> Column:
@@ -144,7 +148,7 @@ def python_round(value: Column, places: int) -> Column:
     tie = F.round(doubled).cast("long")
     exact = (((value - whole) * float(2 ** 63)).cast("long").cast("decimal(20,0)")
              * F.lit(2 * scale).cast("decimal(5,0)")).cast(wide)
-    at_tie = (tie.cast("decimal(6,0)") * F.lit(2 ** 63).cast("decimal(20,0)")).cast(wide)
+    at_tie = (tie.cast("decimal(6,0)") * F.lit(str(2 ** 63)).cast("decimal(20,0)")).cast(wide)
     below = whole * scale + F.floor(tie / 2)
     up = F.when(exact > at_tie, 1).when(exact < at_tie, 0).otherwise(below % 2)
     looks_tied = (tie % 2 == 1) & (F.abs(doubled - tie) < 1e-9)

@@ -71,9 +71,9 @@ def nearest_centroid(points: DataFrame, centroids: DataFrame) -> DataFrame:
     table = centroids.agg(F.sort_array(F.collect_list(
         F.struct("cluster", "vec")))).scalar()
     nearest = F.array_min(F.transform(
-        table, lambda c: F.struct(squared_distance(F.col("vec"), c["vec"]).alias("d2"),
+        "_centroids", lambda c: F.struct(squared_distance(F.col("vec"), c["vec"]).alias("d2"),
                                   c["cluster"].alias("cluster"))))
-    return points.withColumn("_n", nearest).select(
+    return points.withColumn("_centroids", table).withColumn("_n", nearest).select(
         *points.columns, F.col("_n.cluster").alias("cluster"), F.col("_n.d2").alias("d2"))
 
 
@@ -189,7 +189,8 @@ def _over_tiles(home: DataFrame, others: DataFrame, eps: float, dims, tile: int,
             return pd.DataFrame({n: [] for n in names})
         return kernel(a, b, _distances2(a, b))
 
-    left, right = _tiles(home, others, eps, dims, tile)
+    # Both sides may come from one table: fresh column names keep them apart.
+    left, right = _tiles(home.toDF(*home.columns), others.toDF(*others.columns), eps, dims, tile)
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(on_tile, schema)
 
 

@@ -96,8 +96,8 @@ def correlation_matrix(df: DataFrame, *, features=NUMERIC_FEATURES, places: int
     pairs = list(combinations(features, 2))
 
     def r(a, b):
-        value = F.corr(a, b)
-        return F.when(~F.isnan(value), F.round(value, places))
+        spread = F.stddev_pop(a) * F.stddev_pop(b)
+        return F.round(F.try_divide(F.covar_pop(a, b), spread), places)
 
     one = df.agg(*[r(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)],
                  *[F.when(F.stddev_pop(f) > 0, F.lit(1.0)).alias(f"s{i}")
