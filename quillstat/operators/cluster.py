@@ -5,6 +5,7 @@ width eps, copy a point to the cells it can reach and cut each cell into tiles o
 size; a tile reports counts, nearest distances or a spanning forest, never pairs.
 """
 
+from functools import partial
 from itertools import product
 
 import numpy as np
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import CLUSTER_FEATURES
 from ..functions.state import cut_lineage
+from ..session import side_by_side
 from .running import dense_index
 from .scaling import standardise
 from .split import sample_rows
@@ -44,10 +46,10 @@ def kmeans_fit(points: DataFrame, *, k: int = 5, starts: int = 10, seed: int = 4
     """Best of several seeded starts by training cost; the vectors are cached once."""
     vectors = points.select(array_to_vector("vec").alias("features")).persist()
     try:
-        models = [
-            KMeans(k=k, seed=seed + start, maxIter=300, tol=1e-4).fit(vectors)
+        models = side_by_side([
+            partial(KMeans(k=k, seed=seed + start, maxIter=300, tol=1e-4).fit, vectors)
             for start in range(starts)
-        ]
+        ])
         return min(models, key=lambda m: m.summary.trainingCost)
     finally:
         vectors.unpersist()
@@ -85,12 +87,13 @@ def kmeans_sweep(points: DataFrame, *, ks=range(2, 11), seed: int = 42) -> DataF
     """``k, inertia, silhouette`` (squared Euclidean) over a range of k."""
     vectors = points.select(array_to_vector("vec").alias("features")).persist()
     try:
-        rows = []
-        for k in ks:
+        def fit(k: int) -> tuple[int, float, float]:
             model = KMeans(k=k, seed=seed).fit(vectors)
             score = ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(
                 model.transform(vectors))
-            rows.append((k, float(model.summary.trainingCost), float(score)))
+            return k, float(model.summary.trainingCost), float(score)
+
+        rows = side_by_side([partial(fit, k) for k in ks])
     finally:
         vectors.unpersist()
     return points.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
@@ -196,7 +199,11 @@ def _over_tiles(home: DataFrame, others: DataFrame, eps: float, dims, tile: int,
 
 def neighbour_counts(points: DataFrame, *, eps: float, dims: list[int] | None = None,
                      tile: int = TILE) -> DataFrame:
-    """``pid, neighbours``: points within eps, the point itself and its copies included."""
+    """``pid, neighbours``: points within eps, the point itself and its copies included.
+
+    The points are materialised first, because both sides of every tile read them.
+    """
+    points = cut_lineage(points.select("pid", "vec"))
     distinct = collapse_copies(points)
     counted = _distinct_counts(distinct, eps, dims or grid_dimensions(points, eps), tile)
     return (
@@ -268,6 +275,7 @@ def dbscan(points: DataFrame, *, eps: float = 1.0, min_samples: int = 16,
     Clusters are numbered by their smallest core point and a border point joins the lowest
     cluster it touches, as when points are visited in pid order.
     """
+    points = cut_lineage(points.select("pid", "vec"))
     dims = dims or grid_dimensions(points, eps)
     limit = eps * eps
     distinct = cut_lineage(collapse_copies(points))
@@ -308,6 +316,7 @@ def noise_summary(clustered: DataFrame) -> DataFrame:
 
 def eps_sweep(points: DataFrame, *, eps_values=(0.5, 0.8, 1.0, 1.3), min_samples: int = 16) -> DataFrame:
     """Clusters and noise share for each eps."""
+    points = cut_lineage(points.select("pid", "vec"))
     result = None
     for eps in eps_values:
         row = noise_summary(dbscan(points, eps=eps, min_samples=min_samples)).select(
@@ -320,6 +329,7 @@ def k_distance(points: DataFrame, *, k: int = 16, start: float = 1.0, tile: int
     """``pid, k_distance``: distance to the k-th nearest point, the point itself being the
     first. Points with too few neighbours in reach are searched again with twice the radius.
     """
+    points = cut_lineage(points.select("pid", "vec"))
     distinct = cut_lineage(collapse_copies(points))
     d = distinct.select(F.size("vec").alias("d")).first()
     if d is None:

@@ -3,7 +3,10 @@
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 _SHIPPED = "quillstat.shipped"
@@ -40,3 +43,9 @@ def ship_package(spark: SparkSession) -> None:
                     packed.write(full, os.path.relpath(full, os.path.dirname(root)))
     context.addPyFile(archive)
     context.setLocalProperty(_SHIPPED, "yes")
+
+
+def side_by_side(jobs: list[Callable], *, parallelism: int = 4) -> list:
+    """Results of independent fits whose Spark jobs share the cluster, in order."""
+    with ThreadPool(min(parallelism, len(jobs))) as pool:
+        return pool.map(lambda job: job(), [inheritable_thread_target(j) for j in jobs])
