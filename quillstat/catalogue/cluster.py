@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.constants import CLUSTER_FEATURES
+from ..functions.state import cut_lineage
 from ..operators import cluster, features
 from . import sqltext as q
 from .features import document_table
@@ -25,8 +26,9 @@ EPS = f"""{PTS},
 
 
 def class_points(t: Tables):
-    table = features.document_features(
-        t.labelled().where("label = 1"), features=CLUSTER_FEATURES)
+    table = cut_lineage(features.document_features(
+        t.labelled().where("label = 1"), features=CLUSTER_FEATURES
+    ).select("doc_id", "label", *CLUSTER_FEATURES))
     return cluster.class_points(table, id_col="doc_id")
 
 

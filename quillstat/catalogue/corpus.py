@@ -40,7 +40,7 @@ def loader_labels(t: Tables):
 
 @query("source_tag", "SELECT doc_id, 'documents' AS source, 'unknown' AS prompt FROM documents")
 def source_tag(t: Tables):
-    return corpus.tag_source(t.documents).select("doc_id", "source", "prompt")
+    return corpus.tag_source(t.stored_documents()).select("doc_id", "source", "prompt")
 
 
 @query("base_scan", f"SELECT text, label, source, prompt FROM {q.CORPUS}")
@@ -110,7 +110,7 @@ def corpus_document_table(t: Tables):
 @query("dedup_keep_first", "SELECT doc_id, source FROM documents "
        "QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1")
 def dedup_keep_first(t: Tables):
-    return corpus.keep_first(t.documents.select("text", "doc_id", "source"), order=["doc_id"]).select(
+    return corpus.keep_first(t.stored_documents().select("text", "doc_id", "source"), order=["doc_id"]).select(
         "doc_id", "source")
 
 
@@ -178,5 +178,5 @@ def key_defaults(t: Tables):
 @query("key_row_number", "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS doc_id, 0 AS sent_id, md5(text) AS text_md5 FROM documents")
 def key_row_number(t: Tables):
     """Without an id column, rows are numbered as they stand in the files."""
-    return corpus.with_keys(t.documents.drop("doc_id"), id_column=None).select(
+    return corpus.with_keys(t.stored_documents().drop("doc_id"), id_column=None).select(
         "doc_id", "sent_id", F.md5("text").alias("text_md5"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import style
 from ..functions.constants import HISTOGRAM_FEATURES, NUMERIC_FEATURES
+from ..functions.state import cut_lineage
 from ..operators import corpus, explore
 from . import sqltext as q
 from .registry import Tables, query
@@ -19,6 +20,11 @@ def table(t: Tables, columns=NUMERIC_FEATURES):
         t.sentences(), position=F.col("sent_id"), total=F.col("total"), features=columns)
 
 
+def stored_table(t: Tables, columns=NUMERIC_FEATURES):
+    """The feature table as a job of several passes would read it: computed once."""
+    return cut_lineage(table(t, columns).select("label", *columns))
+
+
 def _long(columns=NUMERIC_FEATURES) -> str:
     return f"""(SELECT label, unnest([{', '.join(f"'{c}'" for c in columns)}]) AS feature,
       unnest([{', '.join(f'{c}::DOUBLE' for c in columns)}]) AS value FROM f)"""
@@ -66,7 +72,7 @@ _CAPS = f"caps AS (SELECT feature, quantile_cont(value, 0.99) AS upper FROM {_lo
 
 @query("quantile_cap", f"WITH f AS {_TABLE}, {_CAPS} SELECT feature, round(upper, 6) AS upper FROM caps")
 def quantile_cap(t: Tables):
-    return explore.quantile_caps(table(t)).withColumn("upper", F.round("upper", 6))
+    return explore.quantile_caps(stored_table(t)).withColumn("upper", F.round("upper", 6))
 
 
 def _capped(columns) -> str:
@@ -76,7 +82,7 @@ def _capped(columns) -> str:
 @query("capped_counts", f"""WITH f AS {_TABLE}, {_CAPS}, {_capped(NUMERIC_FEATURES)}
     SELECT feature, label, count(*) AS rows FROM capped GROUP BY feature, label""")
 def capped_counts(t: Tables):
-    return explore.capped_values(table(t)).groupBy("feature", "label").agg(
+    return explore.capped_values(stored_table(t)).groupBy("feature", "label").agg(
         F.count(F.lit(1)).alias("rows"))
 
 
@@ -89,7 +95,7 @@ def capped_counts(t: Tables):
     round(count(*) / (n * ((hi - lo) / 40)), 6) AS density FROM binned GROUP BY feature, label, bin, n, lo, hi""")
 def density_histogram(t: Tables):
     # Entropies that are equal on paper must fall into the same bin in both engines.
-    rows = table(t, HISTOGRAM_FEATURES).withColumn("char_entropy", F.round("char_entropy", 9))
+    rows = stored_table(t, HISTOGRAM_FEATURES).withColumn("char_entropy", F.round("char_entropy", 9))
     return explore.density_histogram(rows).withColumns(
         {c: F.round(c, 6) for c in ("bin_start", "density")})
 
@@ -115,7 +121,7 @@ def correlation(t: Tables):
     round(greatest(max(value) FILTER (value <= q3 + 1.5 * (q3 - q1)), q3), 6) AS whisker_high, count(*) AS rows
   FROM capped JOIN qs USING (feature, label) GROUP BY feature, label, q1, median, q3""")
 def box_stats(t: Tables):
-    stats = explore.box_statistics(table(t))
+    stats = explore.box_statistics(stored_table(t))
     return stats.withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")})
 
 

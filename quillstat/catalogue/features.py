@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import style
 from ..functions.constants import CLUSTER_FEATURES, NUMERIC_FEATURES
+from ..functions.state import cut_lineage
 from ..operators import features, scaling, split, tfidf
 from . import corpus as corpus_queries
 from . import sqltext as q
@@ -194,8 +195,9 @@ _DOCS8 = q.features(_CLEAN_DOCS, "doc_id", CLUSTER_FEATURES)
 
 
 def document_table(t: Tables, columns=CLUSTER_FEATURES):
-    return features.document_features(t.documents.select("doc_id", "text"), features=columns).select(
-        "doc_id", *columns)
+    """Document features, computed once for jobs that read them several times."""
+    return cut_lineage(features.document_features(
+        t.documents.select("doc_id", "text"), features=columns).select("doc_id", *columns))
 
 
 _GAPPED = f"""(SELECT doc_id, CASE WHEN semicolon_dash_count = 0 THEN NULL ELSE char_entropy END AS char_entropy,

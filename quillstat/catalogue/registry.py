@@ -9,6 +9,7 @@ from ..functions.text import clean_text
 from ..operators.scoring import StyleModel
 from ..operators.sentences import split_runtime
 from ..session import ship_package
+from ..sources.readers import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,6 +48,14 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @property
+    def documents(self) -> DataFrame:
+        """The texts, on all cores however few row groups the file has."""
+        return spread(self.stored_documents())
+
+    def stored_documents(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/documents.parquet")
+
     def corpus(self) -> DataFrame:
         """Documents with provenance and, where known, a label."""
         labels = self.labels.select("doc_id", F.col("quality").alias("label"))

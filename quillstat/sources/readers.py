@@ -33,6 +33,15 @@ def read_table(spark: SparkSession, path: str, *, schema: T.StructType | None =
     return reader.json(path) if kind == "json" else reader.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input with fewer splits than cores, e.g. one small file.
+
+    Large inputs already have more splits than cores and are left where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def base_corpus(df: DataFrame) -> DataFrame:
     """``text, label, source, prompt`` of the base corpus."""
     return df.withColumnRenamed("prompt_name", "prompt").select("text", "label", "source", "prompt")
