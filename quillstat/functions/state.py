@@ -27,3 +27,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return df.checkpoint(eager=True)
+
+
+def spread_by(df: DataFrame, *keys) -> DataFrame:
+    """Hash rows over all shuffle partitions.
+
+    For steps that are heavy in work but light in bytes: adaptive execution would merge
+    their partitions by size, but keeps an explicit number.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -14,13 +14,18 @@ from .constants import (
 
 
 @F.arrow_udf(StringType())
-def _nfkc_batch(text: pa.Array) -> pa.Array:
+def _normalised_batch(text: pa.Array) -> pa.Array:
     # Arrow's own utf8_normalize leaves NFKC decomposed, so each text goes through Python.
     return pa.array(
         [None if t is None else unicodedata.normalize("NFKC", t) for t in text.to_pylist()],
         pa.string())
 
 
+# Spark copies deterministic expressions into filters on their result, here the whole
+# cleaning chain. Marked otherwise, a cleaned text is computed once and filtered after.
+_nfkc_batch = _normalised_batch.asNondeterministic()
+
+
 def nfkc(text: Column, wanted: Column | None = None) -> Column:
     """Unicode NFKC. Only texts that may change are shipped to Python, as Arrow batches.
 

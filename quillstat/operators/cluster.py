@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import CLUSTER_FEATURES
-from ..functions.state import cut_lineage
+from ..functions.state import cut_lineage, spread_by
 from ..session import side_by_side
 from .running import dense_index
 from .scaling import standardise
@@ -194,6 +194,7 @@ def _over_tiles(home: DataFrame, others: DataFrame, eps: float, dims, tile: int,
 
     # Both sides may come from one table: fresh column names keep them apart.
     left, right = _tiles(home.toDF(*home.columns), others.toDF(*others.columns), eps, dims, tile)
+    left, right = spread_by(left, *keys), spread_by(right, *keys)
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(on_tile, schema)
 
 
@@ -413,7 +414,7 @@ def silhouette(clustered: DataFrame, *, sample: int = 20_000, seed: int = 42) ->
                 value = np.where((mine == 1) | ~np.isfinite(value), 0.0, value)
                 yield pd.DataFrame({"pid": part["pid"], "cluster": part["cluster"], "silhouette": value})
 
-    return chosen.repartition("pid").mapInPandas(against_all, "pid long, cluster int, silhouette double")
+    return spread_by(chosen, "pid").mapInPandas(against_all, "pid long, cluster int, silhouette double")
 
 
 def pca2(points: DataFrame) -> DataFrame:

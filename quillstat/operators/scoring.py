@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from ..functions import style, text as tx
 from ..functions.constants import BANDS
+from ..functions.state import spread_by
+from ..functions.text import hash_unit_key
 from .corpus import label_name
-from .evaluate import bootstrap_interval
+from .evaluate import interval_of
 from .running import running_total
 from .sentences import display_sentences, whitespace_words
 from .tfidf import BROADCAST_TERMS
@@ -91,55 +93,49 @@ def whole_percent(probability: Column) -> Column:
 
 
 def two_level_scores(df: DataFrame, *, sentence_scorer: Scorer, document_scorer: Scorer,
-                     resamples: int = 1000, id_col: str = "doc_id") -> DataFrame:
+                     resamples: int = 1000, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
     """Document verdict with all its sentence verdicts, for admitted texts.
 
     ``df`` has ``id_col, text``, already admitted, so a document has at most the admitted
-    number of sentences and its result fits one row.
+    number of sentences and its result fits one row. Everything happens on the way of a
+    row through one plan: fold, score the document, cut and score its sentences; only the
+    scored sentences are shuffled, to gather them.
     """
     folded = df.select(id_col, "text").withColumn("normalised", tx.security_normalise(F.col("text")))
-    shown = display_sentences(folded)
-    whole = document_scorer(
-        shown.withColumn("_clean", tx.clean_text(F.col("normalised"))), "_clean", "ai_probability"
-    ).select(
-        id_col, "ai_probability",
-        (F.col("normalised") != tx.strip(F.col("text"))).alias("normalisation_applied"),
-    )
+    shown = display_sentences(folded).withColumn("_clean", tx.clean_text(F.col("normalised")))
+    whole = document_scorer(shown, "_clean", "ai_probability")
     parts = (
-        shown.withColumn("_clean", tx.clean_text(F.col("normalised")))
-        .select(id_col, F.posexplode(F.arrays_zip(
-            F.col("display").alias("shown"), tx.sentences(F.col("_clean")).alias("scored")
-        )).alias("sent_id", "_s"))
-        .select(id_col, "sent_id", "_s.shown", "_s.scored")
-        .withColumnRenamed("shown", "_shown")
-    )
-    scored = sentence_scorer(parts, "scored", "score")
-    gathered = scored.groupBy(id_col).agg(
-        F.sort_array(F.collect_list(F.struct(
-            "sent_id", F.col("_shown").alias("text"),
-            label_name(verdict(F.col("score"))).alias("label"),
-            F.col("score").alias("ai_probability"),
-        ))).alias("_rows")
-    ).select(
-        id_col,
-        F.transform("_rows", lambda r: F.struct(r["text"], r["label"], r["ai_probability"]))
-        .alias("sentence_results"),
+        whole.select(
+            id_col, "ai_probability",
+            (F.col("normalised") != tx.strip(F.col("text"))).alias("normalisation_applied"),
+            F.posexplode(F.arrays_zip(
+                F.col("display").alias("shown"), tx.sentences(F.col("_clean")).alias("scored")
+            )).alias("sent_id", "_s"))
+        .select(id_col, "ai_probability", "normalisation_applied", "sent_id",
+                F.col("_s.shown").alias("shown"), F.col("_s.scored").alias("scored"))
     )
-    ranges = bootstrap_interval(
-        scored.select(id_col, "sent_id", "score"), key=id_col, resamples=resamples, bounded=True)
+    scored = sentence_scorer(parts, "scored", "score").select(
+        id_col, "ai_probability", "normalisation_applied", "sent_id", "shown", "score")
+    row = F.struct("sent_id", F.col("shown").alias("text"),
+                   label_name(verdict(F.col("score"))).alias("label"),
+                   F.col("score").alias("ai_probability"))
     p = F.col("ai_probability")
-    span = F.when(F.col("lower").isNotNull(), F.struct(
-        "lower", "upper",
+    gathered = spread_by(scored, id_col).groupBy(id_col).agg(
+        F.first("ai_probability").alias("ai_probability"),
+        F.first("normalisation_applied").alias("normalisation_applied"),
+        F.sort_array(F.collect_list(row)).alias("_rows"),
+    ).withColumn("_range", interval_of(resamples)(
+        F.col("_rows.ai_probability"), hash_unit_key(F.col(id_col), seed=seed)))
+    span = F.when(F.col("_range.lower").isNotNull(), F.struct(
+        "_range.lower", "_range.upper",
         F.lit("95% bootstrap interval across sentence AI probabilities").alias("method"),
     ))
-    return (
-        whole.join(gathered, id_col).join(ranges, id_col)
-        .select(
-            id_col,
-            label_name(verdict(p)).alias("prediction"),
-            p, confidence(p).alias("confidence"),
-            span.alias("confidence_range"), "sentence_results", "normalisation_applied",
-        )
+    return gathered.select(
+        id_col, label_name(verdict(p)).alias("prediction"), p, confidence(p).alias("confidence"),
+        span.alias("confidence_range"),
+        F.transform("_rows", lambda r: F.struct(r["text"], r["label"], r["ai_probability"]))
+        .alias("sentence_results"),
+        "normalisation_applied",
     )
 
 
