@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.state import cut_lineage
 from ..operators import cleaning, corpus, features
 from ..operators.running import dense_index
 
@@ -23,8 +24,12 @@ def merge_sources(sources: list[DataFrame]) -> DataFrame:
 
 
 def number_documents(merged: DataFrame) -> DataFrame:
-    """Dense ``doc_id`` in the order of the inputs."""
-    return dense_index(merged, order=["source_rank", "row_ord"], out="doc_id").drop(
+    """Dense ``doc_id`` in the order of the inputs.
+
+    The merged corpus is materialised: numbering reads it twice, and cleaning it again
+    would cost more than storing it.
+    """
+    return dense_index(cut_lineage(merged), order=["source_rank", "row_ord"], out="doc_id").drop(
         "source_rank", "row_ord")
 
 
