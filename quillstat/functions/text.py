@@ -26,6 +26,16 @@ def _normalised_batch(text: pa.Array) -> pa.Array:
 _nfkc_batch = _normalised_batch.asNondeterministic()
 
 
+def computed_once(value: Column) -> Column:
+    """The same value, kept out of pushed-down filters.
+
+    A filter on a costly column is otherwise rewritten to compute the column again below
+    its projection, with every shared step written out. The partition number is never
+    negative; Spark only has to take it for something that might change.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def nfkc(text: Column, wanted: Column | None = None) -> Column:
     """Unicode NFKC. Only texts that may change are shipped to Python, as Arrow batches.
 

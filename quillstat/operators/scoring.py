@@ -40,7 +40,7 @@ class StyleModel:
         scored = style.stylometry(
             df.withColumn("_scored_text", F.col(text_col)), text_col="_scored_text", features=names
         )
-        return scored.withColumn(out, sigmoid(self.margin())).drop("_scored_text", *names)
+        return scored.withColumn(out, tx.computed_once(sigmoid(self.margin()))).drop("_scored_text", *names)
 
 
 def linear_scores(long_weights: DataFrame, coefficients: DataFrame, *, intercept: float = 0.0,
