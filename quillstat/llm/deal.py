@@ -23,8 +23,9 @@ from .common import partitions
 
 _ASK = "gid int, bucket int, prints binary, many binary"
 _ANSWER = "gid int, bucket int, counts binary"
-#: Groups and buckets for each shuffle partition, so that hashing evens out.
-PER_PARTITION = 3
+#: Groups and buckets for each shuffle partition, so that hashing evens out; every group may send a
+#: message to every bucket, as in a shuffle.
+PER_PARTITION = 2
 
 
 def grouped(docs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from .shingles import mix, shingle_sets, text_slices
 WIDTH, PERCENT = 5, 75
 #: Tokens of the sets that one task joins at a time; more of them are joined in pairs of blocks.
 BLOCK_TOKENS = 1_000_000
-_ROW = "gid int, doc_id long, n_shingles long, node binary, tokens binary, prefix array<long>"
+_ROW = "gid int, doc_id long, th long, n_shingles long, node binary, tokens binary, prefix array<long>"
 
 
 def document_sets(rows: pa.Table, width: int, short: bool = True):
@@ -85,7 +85,7 @@ def candidate_rows(width: int, percent: int):
     def of(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(rows):
             return pa.table({n: pa.array([], t) for n, t in (
-                ("gid", pa.int32()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()),
+                ("gid", pa.int32()), ("doc_id", pa.int64()), ("th", pa.int64()), ("n_shingles", pa.int64()),
                 ("node", pa.binary()), ("tokens", pa.binary()), ("prefix", pa.list_(pa.int64())))})
         rows = deal.in_order(rows)
         hashes, bounds, digest = document_sets(rows, width)
@@ -103,7 +103,7 @@ def candidate_rows(width: int, percent: int):
             tokens[i] = ordered.tobytes()
             prefix[i] = head[head >= np.uint64(2 << 56)].view(np.int64)
         return pa.table({
-            "gid": rows["gid"], "doc_id": rows["doc_id"], "n_shingles": pa.array(sizes),
+            "gid": rows["gid"], "doc_id": rows["doc_id"], "th": rows["th"], "n_shingles": pa.array(sizes),
             "node": pa.array([d if n else None for d, n in zip(digest.tolist(), sizes)], pa.binary()),
             "tokens": pa.array(tokens, pa.binary()), "prefix": pa.array(prefix, pa.list_(pa.int64())),
         })
@@ -232,12 +232,13 @@ def forest(percent: int):
 
 
 def similar_classes(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs`` (doc_id, text, any others).
+    """``doc_id, th, n_shingles, component_id, first`` for every row of ``docs`` (doc_id, text, any others).
 
     A set holds the distinct shingles of ``width`` words; fewer words make one shingle; no words,
     empty or null text make an empty set that is linked with nothing. Rows that repeat, or share an
     id, each give a row; equal sets are linked. ``component_id`` is the smallest doc_id reachable;
-    null ids count as larger than all. Shingles are compared by 64-bit hashes, 56 bits of them in
+    null ids count as larger than all. ``th`` hashes the text; ``first`` marks the row of a component with
+    the smallest (doc_id, th), and rows that repeat it. Shingles are compared by 64-bit hashes, 56 bits of them in
     the join. An empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -262,16 +263,21 @@ def similar_classes(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
     joined = sets.select("node", "gid", "tokens").join(placed, ["node", "gid"]).select("task", "comp", "node", "tokens")
     links = joined.groupBy("task").applyInArrow(forest(percent), "a binary, b binary")
     labels = components(links)
-    owner = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
+    last = F.lit((1 << 63) - 1)  # null ids come after all others
+    place = F.struct(F.coalesce("doc_id", last).alias("doc_id"), "th")
+    owner = rows.filter("node is not null").groupBy("node").agg(F.min(place).alias("least"))
     owner = owner.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    best = owner.groupBy("label").agg(F.min("least").alias("component_id"))
-    owner = owner.join(best, "label").select("node", "component_id")
+    best = owner.groupBy("label").agg(F.min("least").alias("best"))
+    owner = owner.join(best, "label").select("node", "best")
+    first = F.col("best.doc_id")
     return (
-        rows.filter("node is not null").join(owner, "node").select("doc_id", "n_shingles", "component_id")
-        .union(rows.filter("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+        rows.filter("node is not null").join(owner, "node").select(
+            "doc_id", "th", "n_shingles", F.when(first != last, first).alias("component_id"), (place == F.col("best")).alias("first"))
+        .union(rows.filter("node is null").select(
+            "doc_id", "th", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True)))
     )
 
 
 @query("op3_jaccard_join")
 def op3(spark, folder):
-    return similar_classes(table(spark, folder, "documents"))
+    return similar_classes(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")

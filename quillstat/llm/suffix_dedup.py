@@ -77,7 +77,8 @@ def features(length: int, width: int):
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """All numbers start, start + 1, ... of each stretch, one after the other."""
     ends = np.cumsum(counts)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
+    kind = np.int32 if not len(ends) or max(ends[-1], (starts + counts).max()) < 2**31 else np.int64
+    return np.arange(ends[-1] if len(ends) else 0, dtype=kind) + np.repeat((starts - (ends - counts)).astype(kind), counts)
 
 
 def excerpts(length: int, width: int, number: int):
@@ -147,8 +148,8 @@ def two_stage_order(text: np.ndarray, wanted: np.ndarray, length: int) -> tuple[
     np.add.at(used, stop + 1, -1)
     used = np.cumsum(used[:n]) > 0
     words_ = -(-length // 8)
-    padded = np.zeros(n + 8 * (words_ + 1), np.uint64)
-    padded[:n] = np.maximum(text.astype(np.int64) - 1, 0)
+    padded = np.zeros(n + 8 * (words_ + 1), np.uint8)
+    padded[:n] = np.maximum(text - 1, 0)
     eight = np.zeros(n + 8 * words_, np.uint64)
     for k in range(8):
         eight = (eight << np.uint64(8)) | padded[k:k + len(eight)]
@@ -205,19 +206,20 @@ def spans(length: int):
         rows = rows.sort_by("gid")
 
         def all_of(name: str, kind) -> np.ndarray:
-            return np.frombuffer(b"".join(rows[name].to_pylist()), kind).astype(np.int64)
+            return np.frombuffer(b"".join(rows[name].to_pylist()), kind)
 
-        runs, times, row, docs, places = (all_of(n, k) for n, k in (
+        runs, times, row, docs, places = (all_of(n, k).astype(np.int64) for n, k in (
             ("starts", np.uint8), ("counts", np.uint32), ("rows", np.uint32), ("docs", np.int64), ("places", np.uint32)))
         raw = all_of("bytes", np.uint8)
         sizes = runs + length - 1
         begin = np.cumsum(sizes + 1) - sizes - 1
         text = np.zeros(int((sizes + 1).sum()), np.int16)
-        text[ranges(begin, sizes)] = raw + 1
+        text[ranges(begin, sizes)] = raw
+        text[ranges(begin, sizes)] += 1
         wanted = np.zeros(len(text), bool)
         wanted[ranges(begin, runs)] = True
         order, same = two_stage_order(text, wanted, length)
-        owner = np.zeros(len(text), np.int64)
+        owner = np.zeros(len(text), np.int32)
         owner[ranges(begin, sizes)] = np.repeat(np.arange(len(runs)), sizes)
         heads_of = np.cumsum(times) - times
         earliest = np.minimum.reduceat(docs, heads_of)  # of the places of an excerpt
@@ -228,7 +230,7 @@ def spans(length: int):
         # one window after the other, of each place of each excerpt
         excerpt = np.repeat(np.arange(len(runs)), times)
         window = ranges(begin[excerpt], runs[excerpt])
-        place = np.repeat(np.arange(len(docs)), runs[excerpt])
+        place = np.repeat(np.arange(len(docs), dtype=np.int32), runs[excerpt])
         gone = np.flatnonzero(smallest[window] < docs[place])
         cut = np.ones(len(gone), bool)
         cut[1:] = (np.diff(gone) > 1) | (place[gone[1:]] != place[gone[:-1]])
