@@ -1,11 +1,12 @@
 """Which hashed features occur in more than one item of the whole corpus.
 
 Texts are dealt into groups of a few MB by a hash. Each group sends the distinct features of its
-items, as packed 32-bit fingerprints, to buckets by the leading bits of the hash; each bucket
+items, as packed 24-bit fingerprints, to buckets by the leading bits of the hash; each bucket
 counts in how many groups a feature occurs and answers every group in the order it asked, one
 byte a feature. A feature of a third of all rows thus costs one entry a group, and no list of
 rows of a key is ever gathered. Equal features have equal fingerprints, so a feature called
-unique is unique; about one in 1,500 unique ones is called repeated, which costs work, not results.
+unique is unique; a few per cent of the unique ones are called repeated, which costs work, not
+results.
 
 A group computes its features twice, once to ask and once with the answers; both read the same
 shuffled texts. Rows of a group are put into an order of their content, since a shuffle has none.
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 from .common import partitions
 
 _ASK = "gid int, bucket int, prints binary, many binary"
+_PRINT = np.uint64((1 << 24) - 1)
+_STEP = 65535
 _ANSWER = "gid int, bucket int, counts binary"
 #: Groups and buckets for each shuffle partition, so that hashing evens out; every group may send a
 #: message to every bucket, as in a shuffle.
@@ -30,12 +33,16 @@ PER_PARTITION = 2
 
 def grouped(docs: DataFrame) -> DataFrame:
     """``gid, doc_id, th, text`` of whole documents; ``th`` orders equal ids."""
-    parts = PER_PARTITION * partitions(docs.sparkSession)
+    parts = buckets(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text",
     ).select(F.pmod(F.xxhash64("doc_id", "th"), F.lit(parts)).cast("int").alias("gid"), "doc_id", "th", "text")
 
 
+def buckets(spark) -> int:
+    return PER_PARTITION * partitions(spark)
+
+
 def in_order(rows: pa.Table) -> pa.Table:
     return rows.sort_by([("doc_id", "ascending"), ("th", "ascending")])
 
@@ -47,42 +54,64 @@ def buckets_of(hashes: np.ndarray, number: int) -> np.ndarray:
 
 def ask(groups: DataFrame, features: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
     """Answers ``gid, bucket, counts`` for ``features(rows) -> (sorted distinct hashes, in several items?)``."""
-    number = PER_PARTITION * partitions(groups.sparkSession)
+    number = buckets(groups.sparkSession)
 
     def prints(rows: pa.Table) -> pa.Table:
         hashes, many = features(in_order(rows))
         gid = rows["gid"][0].as_py()
+        order = _print_order(hashes, number)
+        hashes, many = hashes[order], many[order]
         bounds = np.searchsorted(buckets_of(hashes, number), np.arange(number + 1))
-        low = hashes.astype(np.uint32)
+        low = (hashes & _PRINT).astype(np.int64)
         used = np.flatnonzero(np.diff(bounds))
         return pa.table({
             "gid": pa.array(np.full(len(used), gid, np.int32)), "bucket": pa.array(used.astype(np.int32)),
-            "prints": pa.array([low[bounds[b]:bounds[b + 1]].tobytes() for b in used], pa.binary()),
+            "prints": pa.array([_packed(low[bounds[b]:bounds[b + 1]]) for b in used], pa.binary()),
             "many": pa.array([np.packbits(many[bounds[b]:bounds[b + 1]]).tobytes() for b in used], pa.binary()),
         })
 
     def count(rows: pa.Table) -> pa.Table:
-        asked = [np.frombuffer(x, np.uint32) for x in rows["prints"].to_pylist()]
+        asked = [_unpacked(x) for x in rows["prints"].to_pylist()]
         many = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(a)) for x, a in zip(rows["many"].to_pylist(), asked)]
-        sizes = np.array([len(a) for a in asked])
+        ends = np.cumsum([len(a) for a in asked])
         all_ = np.concatenate(asked)
-        order = np.argsort(all_, kind="stable")
-        sorted_ = all_[order]
-        heads = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-        seen = np.add.reduceat(1 + np.concatenate(many)[order].astype(np.int64), heads)
-        counts = np.empty(len(all_), np.uint8)
-        counts[order] = np.repeat(np.minimum(seen, 255), np.diff(np.append(heads, len(all_)))).astype(np.uint8)
-        parts = np.split(counts, np.cumsum(sizes)[:-1])
+        del asked
+        seen = np.bincount(all_, minlength=1 << 24)
+        seen += np.bincount(all_[np.concatenate(many) > 0], minlength=1 << 24)
+        counts = np.minimum(seen, 255).astype(np.uint8)[all_]
         return pa.table({"gid": rows["gid"], "bucket": rows["bucket"],
-                         "counts": pa.array([p.tobytes() for p in parts], pa.binary())})
+                         "counts": pa.array([p.tobytes() for p in np.split(counts, ends[:-1])], pa.binary())})
 
     return groups.groupBy("gid").applyInArrow(prints, _ASK).groupBy("bucket").applyInArrow(count, _ANSWER)
 
 
-def answered(answers: pa.Table) -> np.ndarray:
-    """The counts of a group's features in the order of their hashes."""
+def _print_order(hashes: np.ndarray, number: int) -> np.ndarray:
+    """Order of the questions: by bucket, then fingerprint; equal ones as in ``hashes``."""
+    return np.argsort((buckets_of(hashes, number) << 24) | (hashes & _PRINT).astype(np.int64), kind="stable")
+
+
+def _packed(prints: np.ndarray) -> bytes:
+    """Rising numbers as 16-bit steps; a step of 65535 goes on with the next."""
+    steps = np.diff(prints, prepend=0)
+    if (steps < _STEP).all():
+        return steps.astype(np.uint16).tobytes()
+    more, rest = steps // _STEP, steps % _STEP
+    out = np.full(len(steps) + int(more.sum()), _STEP, np.uint16)
+    out[np.cumsum(more + 1) - 1] = rest
+    return out.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(data, np.uint16)
+    return np.cumsum(steps, dtype=np.int32)[steps != _STEP]
+
+
+def answered(answers: pa.Table, hashes: np.ndarray, number: int) -> np.ndarray:
+    """The counts of a group's sorted distinct hashes."""
     rows = answers.sort_by("bucket")["counts"].to_pylist()
-    return np.frombuffer(b"".join(rows), np.uint8)
+    out = np.empty(len(hashes), np.uint8)
+    out[_print_order(hashes, number)] = np.frombuffer(b"".join(rows), np.uint8)
+    return out
 
 
 def ids_of(rows: pa.Table) -> np.ndarray:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import deal
-from .common import partitions, query, table, written
+from .common import query, table, written
 from .components import components
 from .shingles import mix, shingle_sets, text_slices
 
@@ -60,11 +60,11 @@ def one_of_each(digest: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return first & (sizes > 0)
 
 
-def rarity_keys(hashes: np.ndarray, bounds: np.ndarray, keep: np.ndarray, answers: pa.Table):
+def rarity_keys(hashes: np.ndarray, bounds: np.ndarray, keep: np.ndarray, answers: pa.Table, number: int):
     """``(order keys, several?)`` of the kept rows' tokens: 8 bits of group frequency, 56 of hash."""
     of = np.repeat(keep, np.diff(bounds))
     distinct, back = np.unique(hashes[of], return_inverse=True)
-    counts = deal.answered(answers)[back] if len(distinct) else np.zeros(0, np.uint8)
+    counts = deal.answered(answers, distinct, number)[back] if len(distinct) else np.zeros(0, np.uint8)
     keys = np.zeros(len(hashes), np.uint64)
     keys[of] = (counts.astype(np.uint64) << np.uint64(56)) | (hashes[of] >> np.uint64(8))
     several = np.zeros(len(hashes), bool)
@@ -81,7 +81,7 @@ def features(width: int):
     return of
 
 
-def candidate_rows(width: int, percent: int):
+def candidate_rows(width: int, percent: int, number: int):
     def of(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(rows):
             return pa.table({n: pa.array([], t) for n, t in (
@@ -91,7 +91,7 @@ def candidate_rows(width: int, percent: int):
         hashes, bounds, digest = document_sets(rows, width)
         sizes = np.diff(bounds)
         keep = one_of_each(digest, sizes)
-        keys, several = rarity_keys(hashes, bounds, keep, answers)
+        keys, several = rarity_keys(hashes, bounds, keep, answers, number)
         sums = np.concatenate([[0], np.cumsum(several)])
         shared = sums[bounds[1:]] - sums[bounds[:-1]]
         keep &= 100 * shared >= percent * sizes
@@ -245,7 +245,8 @@ def similar_classes(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
     groups = deal.grouped(docs)
     answers = deal.ask(groups, features(width))
     rows = written(
-        groups.groupBy("gid").cogroup(answers.groupBy("gid")).applyInArrow(candidate_rows(width, percent), _ROW),
+        groups.groupBy("gid").cogroup(answers.groupBy("gid")).applyInArrow(
+            candidate_rows(width, percent, deal.buckets(spark)), _ROW),
         "sets")
     sets = rows.filter("tokens is not null")
     postings = sets.select("node", F.explode("prefix").alias("token"))
@@ -258,7 +259,7 @@ def similar_classes(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
         "own": F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"),
         "other": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)),
     }).select("node", "gid", F.col("label").alias("comp"), F.when(F.col("blocks") == 1, F.concat(
-        F.lit("all "), F.pmod(F.xxhash64("label"), F.lit(deal.PER_PARTITION * partitions(spark))),
+        F.lit("all "), F.pmod(F.xxhash64("label"), F.lit(deal.buckets(spark))),
     )).otherwise(F.concat_ws(" ", F.hex("label"), F.least("own", "other"), F.greatest("own", "other"))).alias("task"))
     joined = sets.select("node", "gid", "tokens").join(placed, ["node", "gid"]).select("task", "comp", "node", "tokens")
     links = joined.groupBy("task").applyInArrow(forest(percent), "a binary, b binary")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import deal
-from .common import partitions, query, table, written
+from .common import query, table, written
 from .jaccard_join import digests, one_of_each, rarity_keys
 from .shingles import shingle_sets, text_slices
 
@@ -60,14 +60,14 @@ def features(width: int):
     return of
 
 
-def candidate_lines(width: int, percent: int):
+def candidate_lines(width: int, percent: int, buckets: int):
     """First places in the group of lines that may have partners; without tokens: lines that go."""
     def of(rows: pa.Table, answers: pa.Table) -> pa.Table:
         rows = deal.in_order(rows)
         hashes, bounds, digest, owner, number = line_sets(rows, width)
         sizes = np.diff(bounds)
         keep = one_of_each(digest, sizes)
-        keys, several = rarity_keys(hashes, bounds, keep, answers)
+        keys, several = rarity_keys(hashes, bounds, keep, answers, buckets)
         sums = np.concatenate([[0], np.cumsum(several)])
         gone = ~keep & (sizes > 0)
         keep &= 100 * (sums[bounds[1:]] - sums[bounds[:-1]]) >= percent * sizes
@@ -157,21 +157,23 @@ def dedup_lines(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT)
     spark = docs.sparkSession
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     kept = docs.select("doc_id", "text", (F.struct(*rest) if rest else F.lit(True)).alias("rest"))
-    parts = deal.PER_PARTITION * partitions(spark)
+    parts = deal.buckets(spark)
     groups = kept.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text", "rest")
     groups = groups.select(F.pmod(F.xxhash64("doc_id", "th"), F.lit(parts)).cast("int").alias("gid"), "*")
     answers = deal.ask(groups, features(width))
     lines = written(groups.groupBy("gid").cogroup(answers.groupBy("gid")).applyInArrow(
-        candidate_lines(width, percent), _LINE), "lines")
-    first = lines.filter("tokens is not null").groupBy("node").agg(F.min(F.struct("place", "gid", "n")).alias("f")).select(
-        "node", "f.place", "f.gid", "f.n")
-    postings = lines.join(first.select("node", "gid", "place"), ["node", "gid", "place"]).filter("tokens is not null")
-    postings = written(postings.select("node", "place", "n", "tokens", "prefix"), "postings")
-    narrow = postings.select("node", F.explode("prefix").alias("token"))
-    shared = narrow.groupBy("token").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK_LINES).cast("int").alias("blocks"),
-        F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").drop("low", "high")
-    tasks = postings.withColumn("token", F.explode("prefix")).drop("prefix").join(shared, "token").withColumns({
+        candidate_lines(width, percent, parts), _LINE), "lines")
+    first = lines.filter("tokens is not null").groupBy("node").agg(F.min(F.struct("place", "gid")).alias("f")).select(
+        "node", "f.place", "f.gid")
+    first = written(first, "first-lines")
+    # words that several distinct lines have in their prefixes, without the tokens of the lines yet
+    narrow = lines.select("node", F.explode("prefix").alias("token")).distinct()
+    shared = narrow.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+        "token", F.ceil(F.col("n") / BLOCK_LINES).cast("int").alias("blocks"))
+    postings = written(narrow.join(shared, "token"), "postings")
+    asked = lines.filter("tokens is not null").select("node", "place", "tokens").join(
+        first.join(postings.select("node").distinct(), "node", "left_semi").select("node", "place"), ["node", "place"])
+    tasks = postings.join(asked, "node").withColumns({
         "own": F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"),
         "other": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)),
     }).select(F.when(F.col("blocks") == 1, F.concat(F.lit("all "), F.pmod(F.xxhash64("token"), F.lit(parts)))).otherwise(

@@ -12,14 +12,17 @@ _LOWER[65:91] += 32
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes handled at a time; a longer text is handled alone and whole.
-SLICE = 1 << 21
+SLICE = 1 << 18
 
 
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (the finalizer of a public splitmix generator)."""
-    h = (h ^ (h >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> _U(27))) * _U(0x94D049BB133111EB)
-    return h ^ (h >> _U(31))
+    h = h ^ (h >> _U(30))
+    h *= _U(0xBF58476D1CE4E5B9)
+    h ^= h >> _U(27)
+    h *= _U(0x94D049BB133111EB)
+    h ^= h >> _U(31)
+    return h
 
 
 _POWERS: dict[str, np.ndarray] = {}
@@ -43,7 +46,9 @@ class Rolling:
     def __init__(self, data: np.ndarray):
         up, self._down = _powers(len(data))
         self._sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_VALUE[data] * up[: len(data)], out=self._sums[1:])
+        values = _VALUE[data]
+        values *= up[: len(data)]
+        np.cumsum(values, out=self._sums[1:])
         if len(_POWERS["up"]) > 2 * SLICE:  # one huge text must not pin its tables
             _POWERS.clear()
 
@@ -53,7 +58,11 @@ class Rolling:
     def windows(self, width: int) -> np.ndarray:
         """The hash of every stretch of ``width`` bytes."""
         n = max(0, len(self._sums) - width)
-        return mix((self._sums[width:width + n] - self._sums[:n]) * self._down[:n])
+        h = (self._sums[width:width + n] - self._sums[:n]) * self._down[:n]
+        h ^= h >> _U(31)
+        h *= _U(0xBF58476D1CE4E5B9)
+        h ^= h >> _U(29)
+        return h
 
 
 def text_slices(texts: pa.Array):
