@@ -19,21 +19,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import deal
-from .common import partitions, query, table
+from .common import query, table
 from .shingles import Rolling, mix, text_slices
 
 LENGTH, ANCHOR = 50, 16
-_SEND = "gid int, bucket int, starts binary, bytes binary, counts binary, rows binary, docs binary, places binary"
+#: Bytes of excerpts, about, that are sorted at a time within a bucket.
+BLOCK_BYTES = 1 << 20
+_SEND = "gid int, bucket int, blocks binary, starts binary, bytes binary, counts binary, rows binary, docs binary, places binary"
 _SPANS = "gid int, rows binary, begins binary, ends binary"
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, width: int):
-    """``(anchor hash, first window, number of windows, row)`` of windows in a row with one anchor."""
+    """``(anchor hash, first window, number of windows, row, hashes of any stretch)`` of windows in a
+    row with one anchor."""
     n = len(data) - length + 1
     none = np.zeros(0, np.int64)
     if n <= 0:
-        return none.astype(np.uint64), none, none, none
-    hashes = Rolling(data).windows(width)
+        return none.astype(np.uint64), none, none, none, None
+    rolling = Rolling(data)
+    hashes = rolling.windows(width)
     span = length - width + 1
     least = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
     covered = 1
@@ -51,14 +55,15 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, width: int):
     tail = valid.copy()
     tail[:-1] &= (at[1:] != at[:-1]) | ~valid[1:]
     number = np.flatnonzero(tail) + 1 - start
-    return mix(hashes[at[start]] ^ np.uint64(0xA0761D6478BD642F)), start, number, np.searchsorted(offsets, start, side="right") - 1
+    anchor = mix(hashes[at[start]] ^ np.uint64(0xA0761D6478BD642F))
+    return anchor, start, number, np.searchsorted(offsets, start, side="right") - 1, rolling
 
 
 def features(length: int, width: int):
     def of(rows: pa.Table):
         found, ids = [], deal.ids_of(rows)
         for row, data, offsets in text_slices(rows["text"]):
-            hashes, _, _, owner = anchors(data, offsets, length, width)
+            hashes, _, _, owner, _ = anchors(data, offsets, length, width)
             order = np.argsort(hashes)
             hashes, docs = hashes[order], ids[row + owner[order]]
             heads = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
@@ -88,17 +93,17 @@ def excerpts(length: int, width: int, number: int):
             return pa.table({f: pa.array([], pa.int32() if k < 2 else pa.binary()) for k, f in enumerate(
                 x.split()[0] for x in _SEND.split(", "))})
         rows = deal.in_order(rows)
-        ids, counts = deal.ids_of(rows), deal.answered(answers)
+        ids = deal.ids_of(rows)
         parts = []
         for row, data, offsets in text_slices(rows["text"]):
-            hashes, start, runs, owner = anchors(data, offsets, length, width)
+            hashes, start, runs, owner, roll = anchors(data, offsets, length, width)
             if len(hashes):
-                roll = Rolling(data)
                 parts.append((hashes, runs, row + owner, start - offsets[owner],
                               roll.of(start, start + runs + length - 1), start, data))
         if not parts:
             return of(rows.slice(0, 0), answers)
         distinct = np.unique(np.concatenate([p[0] for p in parts]))
+        counts = deal.answered(answers, distinct, number)
         base, chosen = 0, []
         for p in parts:
             seen = counts[np.searchsorted(distinct, p[0])] > 1
@@ -106,11 +111,12 @@ def excerpts(length: int, width: int, number: int):
             base += len(p[6])
         hashes, runs, row, place, content, start = (np.concatenate(x) for x in zip(*chosen))
         data = np.concatenate([p[6] for p in parts])
-        order = np.lexsort((row, runs, content, deal.buckets_of(hashes, number)))
+        order = np.argsort(content)  # of the bytes and their number
+        order = order[np.argsort(deal.buckets_of(hashes[order], number), kind="stable")]
         hashes, runs, row, place, content, start = (x[order] for x in (hashes, runs, row, place, content, start))
         bucket = deal.buckets_of(hashes, number)
         new = np.ones(len(hashes), bool)
-        new[1:] = (content[1:] != content[:-1]) | (runs[1:] != runs[:-1]) | (bucket[1:] != bucket[:-1])
+        new[1:] = (content[1:] != content[:-1]) | (bucket[1:] != bucket[:-1])
         heads = np.flatnonzero(new)
         times = np.diff(np.append(heads, len(hashes)))
         gid, out = rows["gid"][0].as_py(), []
@@ -119,10 +125,11 @@ def excerpts(length: int, width: int, number: int):
             own = heads[a:b]
             one, last = own[0], heads[b] if b < len(heads) else len(hashes)
             text = data[ranges(start[own], runs[own] + length - 1)]
-            out.append((gid, int(bucket[one]), runs[own].astype(np.uint8).tobytes(), text.tobytes(),
+            block = (hashes[own] & np.uint64(0xFF)).astype(np.uint8)  # equal anchors, equal blocks
+            out.append((gid, int(bucket[one]), block.tobytes(), runs[own].astype(np.uint8).tobytes(), text.tobytes(),
                         times[a:b].astype(np.uint32).tobytes(), row[one:last].astype(np.uint32).tobytes(),
                         ids[row[one:last]].astype(np.int64).tobytes(), place[one:last].astype(np.uint32).tobytes()))
-        return pa.Table.from_arrays([pa.array([r[k] for r in out], pa.int32() if k < 2 else pa.binary()) for k in range(8)],
+        return pa.Table.from_arrays([pa.array([r[k] for r in out], pa.int32() if k < 2 else pa.binary()) for k in range(9)],
                                     names=[x.split()[0] for x in _SEND.split(", ")])
     return of
 
@@ -142,11 +149,9 @@ def two_stage_order(text: np.ndarray, wanted: np.ndarray, length: int) -> tuple[
     smaller |= text == 0  # ends of excerpts precede all and are not told apart
     # each wanted place, and what follows it up to the first that is sorted directly
     next_direct = np.flatnonzero(smaller)
-    stop = next_direct[np.searchsorted(next_direct, np.flatnonzero(wanted))]
-    used = np.zeros(n + 1, np.int32)
-    np.add.at(used, np.flatnonzero(wanted), 1)
-    np.add.at(used, stop + 1, -1)
-    used = np.cumsum(used[:n]) > 0
+    last = np.flatnonzero(wanted & ~np.append(wanted[1:], False))
+    used = wanted.copy()
+    used[ranges(last, next_direct[np.searchsorted(next_direct, last)] - last + 1)] = True
     words_ = -(-length // 8)
     padded = np.zeros(n + 8 * (words_ + 1), np.uint8)
     padded[:n] = np.maximum(text - 1, 0)
@@ -161,7 +166,16 @@ def two_stage_order(text: np.ndarray, wanted: np.ndarray, length: int) -> tuple[
 
     direct = np.flatnonzero(used & smaller)
     # bytes past the end of an excerpt only matter after `length` values of a wanted suffix
-    direct = direct[np.lexsort([*(key(direct, k) for k in reversed(range(words_))), text[direct] > 0])]
+    # equal beginnings, by their hashes, are sorted once
+    hashed = Rolling(padded[:n + length]).windows(length)[direct] ^ (text[direct] > 0)
+    by_hash = np.argsort(hashed)
+    new = np.append(True, hashed[by_hash[1:]] != hashed[by_hash[:-1]]) if len(direct) else np.zeros(0, bool)
+    one = direct[by_hash[new]]
+    rank = np.empty(len(one), np.int64)
+    rank[np.lexsort([*(key(one, k) for k in reversed(range(words_))), text[one] > 0])] = np.arange(len(one))
+    places = np.empty(len(direct), np.int64)
+    places[by_hash] = rank[np.cumsum(new) - 1]
+    direct = direct[np.argsort(places)]
     first = text[direct]
     bounds = np.searchsorted(first, np.arange(258)) if len(first) else np.zeros(258, np.int64)
     induced: list[list[np.ndarray]] = [[] for _ in range(257)]
@@ -208,48 +222,67 @@ def spans(length: int):
         def all_of(name: str, kind) -> np.ndarray:
             return np.frombuffer(b"".join(rows[name].to_pylist()), kind)
 
-        runs, times, row, docs, places = (all_of(n, k).astype(np.int64) for n, k in (
-            ("starts", np.uint8), ("counts", np.uint32), ("rows", np.uint32), ("docs", np.int64), ("places", np.uint32)))
-        raw = all_of("bytes", np.uint8)
+        blocks, runs, times = all_of("blocks", np.uint8), all_of("starts", np.uint8).astype(np.int64), all_of("counts", np.uint32).astype(np.int64)
+        raw, row, docs, places = all_of("bytes", np.uint8), all_of("rows", np.uint32), all_of("docs", np.int64), all_of("places", np.uint32)
+        groups = np.repeat(rows["gid"].to_numpy(), [len(x) // 4 for x in rows["rows"].to_pylist()])
         sizes = runs + length - 1
-        begin = np.cumsum(sizes + 1) - sizes - 1
-        text = np.zeros(int((sizes + 1).sum()), np.int16)
-        text[ranges(begin, sizes)] = raw
-        text[ranges(begin, sizes)] += 1
-        wanted = np.zeros(len(text), bool)
-        wanted[ranges(begin, runs)] = True
-        order, same = two_stage_order(text, wanted, length)
-        owner = np.zeros(len(text), np.int32)
-        owner[ranges(begin, sizes)] = np.repeat(np.arange(len(runs)), sizes)
-        heads_of = np.cumsum(times) - times
-        earliest = np.minimum.reduceat(docs, heads_of)  # of the places of an excerpt
-        heads = np.flatnonzero(~same)
-        least = np.minimum.reduceat(earliest[owner[order]], heads)
-        smallest = np.empty(len(text), np.int64)
-        smallest[order] = np.repeat(least, np.diff(np.append(heads, len(order))))
-        # one window after the other, of each place of each excerpt
-        excerpt = np.repeat(np.arange(len(runs)), times)
-        window = ranges(begin[excerpt], runs[excerpt])
-        place = np.repeat(np.arange(len(docs), dtype=np.int32), runs[excerpt])
-        gone = np.flatnonzero(smallest[window] < docs[place])
-        cut = np.ones(len(gone), bool)
-        cut[1:] = (np.diff(gone) > 1) | (place[gone[1:]] != place[gone[:-1]])
-        first = gone[cut]
-        last = gone[np.append(cut[1:], True)] if len(gone) else gone
-        at = place[first]
-        start = places[at] + window[first] - begin[excerpt[at]]
-        end = start + (last - first) + length
-        groups = np.repeat(rows["gid"].to_numpy(), [len(x) // 4 for x in rows["rows"].to_pylist()])[at]
-        edges = np.flatnonzero(np.concatenate([[True], np.diff(groups) != 0])) if len(groups) else np.zeros(0, np.int64)
-        parts = list(zip(edges, [*edges[1:], len(groups)]))
+        begin, heads = np.cumsum(sizes) - sizes, np.cumsum(times) - times
+        number = max(1, min(256, int(sizes.sum()) // BLOCK_BYTES))
+        found = []
+        for block in range(number):  # equal windows have equal anchors, so blocks are independent
+            chosen = np.flatnonzero(blocks.astype(np.int64) * number >> 8 == block)
+            if len(chosen):
+                at = ranges(heads[chosen], times[chosen])
+                start, end, which = _block_spans(raw[ranges(begin[chosen], sizes[chosen])], runs[chosen], times[chosen],
+                                                 docs[at], places[at].astype(np.int64), length)
+                found.append((groups[at[which]], row[at[which]], start, end))
+        if not found:
+            return pa.table({n: pa.array([], pa.int32() if n == "gid" else pa.binary()) for n in ("gid", "rows", "begins", "ends")})
+        gid, row, start, end = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(gid, kind="stable")
+        gid, row, start, end = gid[order], row[order], start[order], end[order]
+        edges = np.flatnonzero(np.append(True, np.diff(gid) != 0)) if len(gid) else np.zeros(0, np.int64)
+        parts = list(zip(edges, [*edges[1:], len(gid)]))
         return pa.table({
-            "gid": pa.array([int(groups[a]) for a, _ in parts], pa.int32()),
+            "gid": pa.array([int(gid[a]) for a, _ in parts], pa.int32()),
             **{n: pa.array([x[a:b].astype(np.uint32).tobytes() for a, b in parts], pa.binary())
-               for n, x in (("rows", row[at]), ("begins", start), ("ends", end))},
+               for n, x in (("rows", row), ("begins", start), ("ends", end))},
         })
     return of
 
 
+def _block_spans(raw, runs, times, docs, places, length: int):
+    """``(begin, end, place)`` of the spans that go, of excerpts with ``runs`` windows each that stand
+    ``times`` times: ``docs`` and ``places`` of the first, then of the second, and so on."""
+    sizes = runs + length - 1
+    begin = np.cumsum(sizes + 1) - sizes - 1
+    text = np.zeros(int((sizes + 1).sum()), np.int16)
+    inside = ranges(begin, sizes)
+    text[inside] = raw
+    text[inside] += 1
+    owner = np.zeros(len(text), np.int32)
+    owner[inside] = np.repeat(np.arange(len(runs), dtype=np.int32), sizes)
+    wanted = np.zeros(len(text), bool)
+    wanted[ranges(begin, runs)] = True
+    order, same = two_stage_order(text, wanted, length)
+    earliest = np.minimum.reduceat(docs, np.cumsum(times) - times)  # of the places of an excerpt
+    heads = np.flatnonzero(~same)
+    least = np.minimum.reduceat(earliest[owner[order]], heads)
+    smallest = np.empty(len(text), np.int64)
+    smallest[order] = np.repeat(least, np.diff(np.append(heads, len(order))))
+    # one window after the other, of each place of each excerpt
+    excerpt = np.repeat(np.arange(len(runs)), times)
+    window = ranges(begin[excerpt], runs[excerpt])
+    place = np.repeat(np.arange(len(docs), dtype=np.int32), runs[excerpt])
+    gone = np.flatnonzero(smallest[window] < docs[place])
+    cut = np.ones(len(gone), bool)
+    cut[1:] = (np.diff(gone) > 1) | (place[gone[1:]] != place[gone[:-1]])
+    first, last = gone[cut], gone[np.append(cut[1:], True)] if len(gone) else gone
+    at = place[first]
+    start = places[at] + window[first] - begin[excerpt[at]]
+    return start, start + (last - first) + length, at
+
+
 def kept_bytes(rows: pa.Table, found: pa.Table) -> pa.Table:
     """What is left of each text of a group."""
     rows = deal.in_order(rows)
@@ -292,7 +325,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, width: int = ANCHOR
     from each other; shorter texts stay whole. An empty table gives no rows. Excerpts of a group are
     told apart by 64-bit hashes and lengths, everything else by its bytes.
     """
-    number = deal.PER_PARTITION * partitions(docs.sparkSession)
+    number = deal.buckets(docs.sparkSession)
     groups = deal.grouped(docs)
     answers = deal.ask(groups, features(length, width))
     sent = groups.groupBy("gid").cogroup(answers.groupBy("gid")).applyInArrow(excerpts(length, width, number), _SEND)
