@@ -52,13 +52,16 @@ def buckets_of(hashes: np.ndarray, number: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(number) >> np.uint64(32)).astype(np.int64)
 
 
-def ask(groups: DataFrame, features: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """Answers ``gid, bucket, counts`` for ``features(rows) -> (sorted distinct hashes, in several items?)``."""
+def ask(groups: DataFrame, features: Callable[..., tuple[np.ndarray, np.ndarray]], given: DataFrame | None = None) -> DataFrame:
+    """Answers ``gid, bucket, counts`` for ``features(rows) -> (sorted distinct hashes, in several items?)``.
+
+    With ``given``, a table with a gid, its rows of the group are the second argument of ``features``.
+    """
     number = buckets(groups.sparkSession)
 
-    def prints(rows: pa.Table) -> pa.Table:
-        hashes, many = features(in_order(rows))
-        gid = rows["gid"][0].as_py()
+    def prints(rows: pa.Table, *more: pa.Table) -> pa.Table:
+        gid = (rows if len(rows) else more[0])["gid"][0].as_py()
+        hashes, many = features(in_order(rows), *more)
         order = _print_order(hashes, number)
         hashes, many = hashes[order], many[order]
         bounds = np.searchsorted(buckets_of(hashes, number), np.arange(number + 1))
@@ -82,7 +85,11 @@ def ask(groups: DataFrame, features: Callable[[pa.Table], tuple[np.ndarray, np.n
         return pa.table({"gid": rows["gid"], "bucket": rows["bucket"],
                          "counts": pa.array([p.tobytes() for p in np.split(counts, ends[:-1])], pa.binary())})
 
-    return groups.groupBy("gid").applyInArrow(prints, _ASK).groupBy("bucket").applyInArrow(count, _ANSWER)
+    if given is None:
+        asked = groups.groupBy("gid").applyInArrow(lambda rows: prints(rows), _ASK)
+    else:
+        asked = groups.groupBy("gid").cogroup(given.groupBy("gid")).applyInArrow(lambda rows, more: prints(rows, more), _ASK)
+    return asked.groupBy("bucket").applyInArrow(count, _ANSWER)
 
 
 def _print_order(hashes: np.ndarray, number: int) -> np.ndarray:
