@@ -167,19 +167,35 @@ def member(record: bytes, level: int = 6) -> bytes:
     return machine.compress(record) + machine.flush()
 
 
+def _in_batches(rows: Iterator[tuple[int, dict]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows given with their sizes, as batches of about CHUNK bytes."""
+    held, size = [], 0
+    for own, row in rows:
+        held.append(row)
+        size += own + 200
+        if size >= CHUNK:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+
 def _members(batches):
-    shard, offset, place = TaskContext.get().partitionId(), 0, 0
-    for batch in batches:
-        for path, content in zip(batch.column(0), batch.column(1)):
-            archive = path.as_py().rsplit("/", 1)[-1]
-            for number, (header, block, record) in enumerate(parsed(inflated(content.as_py()))):
-                own = member(record + b"\r\n\r\n")
-                line = own if own.endswith(b"\0") else own + _EMPTY
-                note = json.dumps({"shard": shard, "offset": offset, "length": len(own), "archive": archive,
-                                   "record": number} | facts(header, block))
-                yield pa.RecordBatch.from_pydict({
-                    "kind": ["warc", "index"], "place": [place, place], "line": [line[:-1], note.encode()]})
-                offset, place = offset + len(line), place + 1
+    def lines():
+        shard, offset, place = TaskContext.get().partitionId(), 0, 0
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1)):
+                archive = path.as_py().rsplit("/", 1)[-1]
+                for number, (header, block, record) in enumerate(parsed(inflated(content.as_py()))):
+                    own = member(record + b"\r\n\r\n")
+                    line = own if own.endswith(b"\0") else own + _EMPTY
+                    note = json.dumps({"shard": shard, "offset": offset, "length": len(own), "archive": archive,
+                                       "record": number} | facts(header, block))
+                    yield len(line), {"kind": "warc", "place": place, "line": line[:-1]}
+                    yield len(note), {"kind": "index", "place": place, "line": note.encode()}
+                    offset, place = offset + len(line), place + 1
+
+    return _in_batches(lines(), pa.schema([("kind", pa.string()), ("place", pa.int64()), ("line", pa.binary())]))
 
 
 def normalise(spark, source: str, folder: str) -> None:
@@ -201,35 +217,42 @@ def read_index(spark, folder: str) -> DataFrame:
     return lines.select(F.from_json("value", INDEX).alias("x")).select("x.*")
 
 
-def read_records(spark, folder: str) -> DataFrame:
+_RECORD = [("shard", "int"), ("offset", "long"), ("type", "string"), ("page_id", "long"), ("refers_to", "long"),
+           ("uri", "string"), ("digest", "string"), ("payload_bytes", "long"), ("payload", "binary")]
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+
+
+def read_records(spark, folder: str, *, payloads: bool = True) -> DataFrame:
     """``shard, offset, type, page_id, refers_to, uri, digest, payload_bytes, payload`` read from the
-    members themselves, each inflated alone; a member that is no record of its own fails the job."""
+    members themselves, each inflated alone; a member that is no record of its own fails the job.
+    Without ``payloads`` they are only digested."""
+    fields = [f for f in _RECORD if payloads or f[0] != "payload"]
+    schema = pa.schema([(n, _ARROW[k]) for n, k in fields])
+
     def of(batches):
-        for batch in batches:
-            for path, content in zip(batch.column(0), batch.column(1)):
-                shard, content, at = int(path.as_py().rsplit("/part-", 1)[1][:5]), memoryview(content.as_py()), 0
-                while at < len(content):
-                    machine, parts, end = zlib.decompressobj(31), [], at
-                    while not machine.eof:
-                        if end >= len(content):
-                            raise zlib.error("a member ends early")
-                        parts.append(machine.decompress(content[end:end + CHUNK]))
-                        end = min(len(content), end + CHUNK)
-                    end -= len(machine.unused_data)
-                    for header, block, _ in parsed(iter(parts)):
-                        row = {"shard": shard, "offset": at} | facts(header, block)
-                        payload = None if row["type"] == "revisit" else block.partition(b"\r\n\r\n")[2]
-                        yield pa.RecordBatch.from_pylist([row | {"payload": payload}], schema=_RECORD)
-                    at = end
+        def rows():
+            for batch in batches:
+                for path, content in zip(batch.column(0), batch.column(1)):
+                    shard, content, at = int(path.as_py().rsplit("/part-", 1)[1][:5]), memoryview(content.as_buffer()), 0
+                    while at < len(content):
+                        machine, parts, end, step = zlib.decompressobj(31), [], at, CHUNK // 32
+                        while not machine.eof:
+                            if end >= len(content):
+                                raise zlib.error("a member ends early")
+                            parts.append(machine.decompress(content[end:end + step]))
+                            end, step = min(len(content), end + step), CHUNK
+                        end -= len(machine.unused_data)
+                        for header, block, _ in parsed(iter(parts)):
+                            row = {"shard": shard, "offset": at} | facts(header, block)
+                            if payloads:
+                                row["payload"] = None if row["type"] == "revisit" else block.partition(b"\r\n\r\n")[2]
+                            yield len(block) if payloads else 0, row
+                        at = end
+
+        return _in_batches(rows(), schema)
 
     files = spark.read.format("binaryFile").load(f"{folder}/kind=warc").select("path", "content")
-    return files.mapInArrow(of, "shard int, offset long, type string, page_id long, refers_to long, uri string, "
-                                "digest string, payload_bytes long, payload binary")
-
-
-_RECORD = pa.schema([("shard", pa.int32()), ("offset", pa.int64()), ("type", pa.string()), ("page_id", pa.int64()),
-                     ("refers_to", pa.int64()), ("uri", pa.string()), ("digest", pa.string()),
-                     ("payload_bytes", pa.int64()), ("payload", pa.binary())])
+    return files.mapInArrow(of, ", ".join(" ".join(f) for f in fields))
 
 
 @query("op1_warc", r"""
@@ -253,5 +276,5 @@ def op1(spark, folder):
     write_archives(table(spark, folder, "pages"), first)
     normalise(spark, first, second)
     index = read_index(spark, second).select("shard", "offset")
-    return read_records(spark, second).drop("payload").join(index, ["shard", "offset"]).select(
+    return read_records(spark, second, payloads=False).join(index, ["shard", "offset"]).select(
         "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
