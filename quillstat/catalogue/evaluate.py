@@ -7,7 +7,7 @@ from ..operators import evaluate, models, scoring, split, tfidf
 from ..sources import sinks
 from . import sqltext as q
 from .features import TFIDF, sql_split
-from .registry import MODEL, MODEL_B, Tables, query
+from .registry import MODEL, MODEL_B, SENTENCE_MODEL, Tables, query
 
 
 @query("class_weights", f"""SELECT label, count(*) AS rows, sum(count(*)) OVER () / (count(*) OVER () * count(*)) AS weight
@@ -195,9 +195,9 @@ ADMITTED = f"""(SELECT doc_id, text FROM (SELECT doc_id, text, {_CODE} AS code F
     SELECT *, {q.sentence_list(q.collapse('text'))} AS p FROM documents)) WHERE code IS NULL)"""
 _FOLDED = f"(SELECT doc_id, text, {q.folded('text')} AS folded FROM {ADMITTED})"
 _WHOLE = q.scored(_FOLDED, "doc_id", MODEL_B, text="folded", out="p")
-_PARTS = f"""(SELECT doc_id, unnest(range(len(p))) AS sent_id, unnest(p) AS text FROM (
+_PARTS = f"""(SELECT doc_id, len(p) AS sentences_, unnest(range(len(p))) AS sent_id, unnest(p) AS text FROM (
     SELECT doc_id, {q.sentence_list('folded')} AS p FROM {_FOLDED}))"""
-_PART_SCORES = q.scored(_PARTS, "doc_id, sent_id, text", MODEL)
+_PART_SCORES = q.scored(_PARTS, "doc_id, sent_id, text", SENTENCE_MODEL, pos="sent_id", total="sentences_")
 TWO_LEVEL = f"""WITH w AS {_WHOLE}, ps AS {_PART_SCORES}, r AS {sql_bootstrap('ps')},
   g AS (SELECT doc_id, count(*) AS sentences, string_agg(CASE WHEN score >= 0.5 THEN 'ai' ELSE 'human' END, ',' ORDER BY sent_id) AS labels,
     md5(string_agg(text, '|' ORDER BY sent_id)) AS shown_md5, sum(score) AS total FROM ps GROUP BY doc_id)
@@ -226,5 +226,5 @@ def two_level_scores(t: Tables):
     from ..plans.scoring import score_batch
 
     scored, _ = score_batch(
-        t.documents.select("doc_id", "text"), sentence_scorer=MODEL, document_scorer=MODEL_B)
+        t.documents.select("doc_id", "text"), sentence_scorer=SENTENCE_MODEL, document_scorer=MODEL_B)
     return flattened(scored)

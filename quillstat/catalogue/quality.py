@@ -66,11 +66,13 @@ def dq_class_documents(t: Tables):
 
 
 @query("dq_coerced_features", f"""SELECT doc_id, sent_id, try_cast(size_note AS DOUBLE) AS size_note,
-    try_cast(ratio_note AS DOUBLE) AS ratio_note FROM {_TURNS} WHERE ratio_note <> 'Infinity'""")
+    CASE WHEN NOT isinf(try_cast(ratio_note AS DOUBLE)) THEN try_cast(ratio_note AS DOUBLE) END AS finite_ratio,
+    coalesce(isinf(try_cast(ratio_note AS DOUBLE)), false) AS infinite FROM {_TURNS}""")
 def dq_coerced_features(t: Tables):
-    finite = _turns(t).where("ratio_note <> 'Infinity'")
-    return quality.coerce_features(finite, features=("size_note", "ratio_note")).select(
-        "doc_id", "sent_id", "size_note", "ratio_note")
+    """All rows; an infinite ratio is flagged, since the comparison has no value for it."""
+    infinite = F.coalesce(F.abs("ratio_note") == float("inf"), F.lit(False))
+    return quality.coerce_features(_turns(t), features=("size_note", "ratio_note")).select(
+        "doc_id", "sent_id", "size_note", F.when(~infinite, F.col("ratio_note")).alias("finite_ratio"), infinite.alias("infinite"))
 
 
 # Real texts, plus rows derived from them that break the remaining rules.

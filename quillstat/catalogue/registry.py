@@ -21,6 +21,8 @@ MODEL = StyleModel(
      "rep_bigram": 3.0, "semicolon_dash_count": -0.05},
     -3.9,
 )
+# For sentences: their place in the document counts too.
+SENTENCE_MODEL = StyleModel({**MODEL.coefficients, "doc_pos": 0.8}, -4.2)
 # A second one, for comparisons between models.
 MODEL_B = StyleModel({"avg_word_len": -0.6, "complex_word_ratio": 2.0, "char_entropy": 0.8}, -0.9)
 

@@ -121,11 +121,12 @@ def model_margin(model) -> str:
     return " + ".join([f"{w} * {f}" for f, w in model.coefficients.items()] + [str(model.intercept)])
 
 
-def scored(table: str, keep: str, model, *, text: str = "text", out: str = "score") -> str:
+def scored(table: str, keep: str, model, *, text: str = "text", out: str = "score", pos: str = "0",
+           total: str = "1") -> str:
     """``keep, out``: probability of the style model for ``table.<text>``."""
     inner = f"(SELECT {keep}, {text} AS text FROM {table})" if text != "text" else table
     return f"""(SELECT {keep}, 1.0 / (1.0 + exp(-({model_margin(model)}))) AS {out}
-      FROM {features(inner, keep, list(model.coefficients))})"""
+      FROM {features(inner, keep, list(model.coefficients), pos=pos, total=total)})"""
 
 
 def hash_key(expr: str, seed="42") -> str:

@@ -85,3 +85,6 @@ DISPLAY_NAMES = {
     "xgboost": "XGBoost",
 }
 BANDS = (("strong", 0.9), ("moderate", 0.7), ("low", 0.5))
+
+# Fixed value: callers compare the name of the interval method.
+INTERVAL_METHOD = "95% bootstrap interval across sentence AI probabilities"

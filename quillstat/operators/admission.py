@@ -2,9 +2,10 @@
 
 from collections import deque
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .running import running_total
 
@@ -44,23 +45,23 @@ def admit_requests(events: DataFrame, *, key: str, time: str, order: list[str],
     """Add ``admitted``: fewer than ``limit`` earlier admissions in the last window.
 
     Denied requests are not remembered; an admission exactly one window old has expired.
-    Only key, time and order columns travel. Each stretch is sorted by Spark and streamed
-    through a deque of at most ``limit`` times, whatever its length.
+    Rows travel whole and are never joined back, so equal rows stay as many as they are. Each
+    stretch is sorted by Spark and streamed through a deque of at most ``limit`` times,
+    whatever its length.
     """
     window_us = window_seconds * 1_000_000
     stamped = events.withColumn("_us", F.unix_micros(F.col(time).cast("timestamp")))
-    narrow = stamped.select(key, "_us", *order)
-    sessions = quiet_sessions(narrow, key=key, time_us="_us", order=order, window_us=window_us)
+    sessions = quiet_sessions(stamped, key=key, time_us="_us", order=order, window_us=window_us)
     ordered = sessions.repartition(key, "session").sortWithinPartitions(key, "session", "_us", *order)
-    schema = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema) + ", admitted boolean"
-    names = narrow.columns
+    schema = T.StructType([*events.schema.fields, T.StructField("admitted", T.BooleanType())])
+    names = events.columns
 
     def scan(batches):
         current, recent = None, deque()
         for batch in batches:
+            place = {n: k for k, n in enumerate(batch.schema.names)}
             flags = []
-            for client, session, now in zip(batch[key], batch["session"], batch["_us"]):
+            for client, session, now in zip(*(batch.column(place[n]).to_pylist() for n in (key, "session", "_us"))):
                 if (client, session) != current:
                     current = (client, session)
                     recent.clear()
@@ -69,7 +70,7 @@ def admit_requests(events: DataFrame, *, key: str, time: str, order: list[str],
                 flags.append(len(recent) < limit)
                 if flags[-1]:
                     recent.append(now)
-            yield batch[names].assign(admitted=pd.Series(flags, index=batch.index, dtype=bool))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(place[n]) for n in names), pa.array(flags, pa.bool_())], names=[*names, "admitted"])
 
-    decided = ordered.mapInPandas(scan, schema)
-    return stamped.join(decided, [key, "_us", *order]).drop("_us")
+    return ordered.mapInArrow(scan, schema)

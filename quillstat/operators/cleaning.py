@@ -7,8 +7,8 @@ from ..functions import chars, text as tx
 
 
 def clean_corpus(df: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """Run the cleaning chain over one column."""
-    return df.withColumn(text_col, tx.clean_chain(F.col(text_col)))
+    """Run the cleaning chain over one column; filters on the result do not run it again."""
+    return df.withColumn(text_col, tx.computed_once(tx.clean_chain(F.col(text_col))))
 
 
 def clean_stages(df: DataFrame, *, text_col: str = "text") -> DataFrame:

@@ -26,8 +26,6 @@ from .split import sample_rows
 
 # Rows of each side of a tile; a distance block is then at most 32 MB.
 TILE = 2048
-# Largest sample whose points are sent to every task.
-MAX_SAMPLE = 200_000
 
 
 def class_points(df: DataFrame, *, id_col: str, features=CLUSTER_FEATURES, label: int | None = 1,
@@ -244,7 +242,7 @@ def _forest(a: pd.DataFrame, b: pd.DataFrame, near: np.ndarray) -> pd.DataFrame:
     return linked[linked["src"] != linked["dst"]].drop_duplicates()
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, *, rounds: int = 50) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``pid, component`` (the smallest pid): min-label exchange with pointer jumping.
 
     Labels only ever shrink and minima are taken map-side. Every round is checkpointed, so
@@ -255,7 +253,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, *, rounds: int = 50
         .distinct()
     )
     labels = cut_lineage(nodes.select("pid", F.col("pid").alias("component")))
-    for _ in range(rounds):
+    while True:  # labels only shrink, so this ends when none moves
         seen = both.join(labels.select(F.col("pid").alias("dst"), "component"), "dst").select(
             F.col("src").alias("pid"), "component")
         lowered = labels.unionByName(seen).groupBy("pid").agg(F.min("component").alias("component"))
@@ -266,7 +264,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame, *, rounds: int = 50
         labels = new
         if moved:
             return labels
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
 def dbscan(points: DataFrame, *, eps: float = 1.0, min_samples: int = 16,
@@ -377,44 +374,42 @@ def k_distance(points: DataFrame, *, k: int = 16, start: float = 1.0, tile: int
 
 # ---- Validity and projection -----------------------------------------------------
 
-def silhouette(clustered: DataFrame, *, sample: int = 20_000, seed: int = 42) -> DataFrame:
+def silhouette(clustered: DataFrame, *, sample: int = 20_000, seed: int = 42, tile: int = TILE) -> DataFrame:
     """``pid, cluster, silhouette`` (Euclidean) over a seeded sample of ``pid, cluster, vec``.
 
-    The sample has a fixed size, so its points can be sent to every task; each task holds
-    its rows against all of them and keeps one sum per cluster.
+    The sample is cut into blocks of about ``tile`` points; each pair of blocks is one task's
+    work and leaves one sum of distances per point and cluster. Points alone in their cluster,
+    and all points of a single cluster, have 0.
     """
-    if sample > MAX_SAMPLE:
-        raise ValueError(f"silhouette samples are limited to {MAX_SAMPLE} points")
     chosen = cut_lineage(
         sample_rows(clustered.select("pid", "cluster", "vec"), n=sample, keys=["pid"], seed=seed))
-    local = chosen.toPandas()
-    if not len(local):
-        return chosen.select("pid", "cluster", F.lit(None).cast("double").alias("silhouette"))
-    names, codes = np.unique(local["cluster"].to_numpy(), return_inverse=True)
-    member = np.zeros((len(local), len(names)))
-    member[np.arange(len(local)), codes] = 1.0
-    shared = chosen.sparkSession.sparkContext.broadcast((local[["vec"]], member, names))
-
-    def against_all(batches):
-        everything, belongs, labels = shared.value
-        sizes = belongs.sum(axis=0)
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at:at + 256]
-                sums = np.sqrt(_distances2(part, everything)) @ belongs
-                own = np.searchsorted(labels, part["cluster"].to_numpy())
-                line = np.arange(len(part))
-                mine = sizes[own]
-                inner = sums[line, own] / np.maximum(mine - 1, 1)
-                means = sums / sizes
-                means[line, own] = np.inf
-                outer = means.min(axis=1)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    value = (outer - inner) / np.maximum(inner, outer)
-                value = np.where((mine == 1) | ~np.isfinite(value), 0.0, value)
-                yield pd.DataFrame({"pid": part["pid"], "cluster": part["cluster"], "silhouette": value})
-
-    return spread_by(chosen, "pid").mapInPandas(against_all, "pid long, cluster int, silhouette double")
+    blocks = max(1, -(-chosen.count() // tile))
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    own = F.pmod(F.xxhash64("pid"), F.lit(blocks)).cast("int")
+    rows = chosen.select("pid", "vec", own.alias("i"), numbers.alias("j"))
+    others = chosen.select("cluster", "vec", own.alias("j"), numbers.alias("i"))
+
+    def sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"pid": [], "other": [], "total": []})
+        names, codes = np.unique(b["cluster"].to_numpy(), return_inverse=True)
+        belongs = np.eye(len(names))[codes]
+        total = np.concatenate([
+            np.sqrt(_distances2(a.iloc[k:k + 256], b)) @ belongs for k in range(0, len(a), 256)])
+        return pd.DataFrame({"pid": np.repeat(a["pid"].to_numpy(), len(names)),
+                             "other": np.tile(names, len(a)), "total": total.ravel()})
+
+    totals = rows.groupBy("i", "j").cogroup(others.groupBy("i", "j")).applyInPandas(
+        sums, "pid long, other int, total double").groupBy("pid", "other").agg(F.sum("total").alias("total"))
+    sizes = chosen.groupBy(F.col("cluster").alias("other")).agg(F.count(F.lit(1)).alias("size"))
+    mine = F.col("cluster") == F.col("other")
+    parts = totals.join(sizes, "other").join(chosen.select("pid", "cluster"), "pid").groupBy("pid", "cluster").agg(
+        F.max(F.when(mine, F.col("total") / F.greatest(F.col("size") - 1, F.lit(1)))).alias("inner"),
+        F.max(F.when(mine, F.col("size"))).alias("size"),
+        F.min(F.when(~mine, F.col("total") / F.col("size"))).alias("outer"))
+    value = F.try_divide(F.col("outer") - F.col("inner"), F.greatest("inner", "outer"))
+    return parts.select("pid", F.col("cluster").cast("int").alias("cluster"), F.when(
+        F.col("size") > 1, F.coalesce(value, F.lit(0.0))).otherwise(0.0).alias("silhouette"))
 
 
 def pca2(points: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,19 +58,37 @@ def with_defaults(df: DataFrame, *, columns=("source", "prompt"), default: str =
     })
 
 
+def numeric_ids(df: DataFrame, columns) -> DataFrame:
+    """Text columns whose values are all whole numbers become numbers, so that they sort as such.
+
+    A value counts as a number if writing the number gives the value again: ``007`` stays text,
+    and with it its column.
+    """
+    names = [c for c in columns if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)]
+    if not names:
+        return df
+    odd = df.agg(*[F.count_if(F.col(c).isNotNull() & ~F.coalesce(
+        F.expr(f"cast(try_cast(`{c}` as bigint) as string)") == F.col(c), F.lit(False))).alias(c) for c in names]).first()
+    return df.withColumns({c: F.col(c).cast("long") for c in names if odd[c] == 0})
+
+
 def with_keys(df: DataFrame, *, id_column: str | None = "id") -> DataFrame:
-    """Settle ``doc_id`` and ``sent_id``: stored key, else ``id_column``, else row number."""
+    """Settle ``doc_id`` and ``sent_id``: stored key, else ``id_column``, else row number.
+
+    Rows are numbered in the order of their files where they come from files, else in the order
+    in which Spark holds them.
+    """
     if "doc_id" not in df.columns:
         if id_column and id_column in df.columns:
             df = df.withColumn("doc_id", F.col(id_column))
         else:
+            files = {"_file": F.col("_metadata.file_path"), "_start": F.col("_metadata.file_block_start")}
+            try:
+                placed = df.select("*", *[v.alias(k) for k, v in files.items()])
+            except AnalysisException:  # a computed table has no files
+                placed = df.select("*", F.lit("").alias("_file"), F.lit(0).alias("_start"))
+            placed = cut_lineage(placed.withColumn("_row", F.monotonically_increasing_id()))
             place = ["_file", "_start", "_row"]
-            placed = cut_lineage(df.select(
-                "*",
-                F.col("_metadata.file_path").alias("_file"),
-                F.col("_metadata.file_block_start").alias("_start"),
-                F.monotonically_increasing_id().alias("_row"),
-            ))
             df = dense_index(placed, order=place, out="doc_id").drop(*place)
     return df if "sent_id" in df.columns else df.withColumn("sent_id", F.lit(0))
 
@@ -92,19 +111,24 @@ def merge_corpora(frames: list[DataFrame], *, columns=("text", "label", "source"
 def keep_first(df: DataFrame, *, key: str = "text", order: list[str]) -> DataFrame:
     """One row per key, the first in ``order``.
 
-    Copies are merged on the map side, so a text making up a third of the rows sends one
-    row per task.
+    Keys meet by their SHA-256, so sorting and comparing never touches a text. Copies are
+    merged on the map side: a text making up a third of the rows sends one row per task.
     """
-    rest = [c for c in df.columns if c != key]
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return df.groupBy(key).agg(first).select(key, "_row.*").select(*df.columns)
+    first = F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_row")
+    return df.groupBy(text_key(F.col(key)).alias("_key")).agg(first).select("_row.*")
+
+
+def text_key(text: Column) -> Column:
+    """256 bits that stand for a text in groups and joins; null stays null."""
+    return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
 def document_fingerprints(df: DataFrame, *, span: int = 4096) -> DataFrame:
     """128-bit fingerprint and length of each document's text, in sentence order.
 
-    Equal exactly when the sentences joined by spaces are equal, wherever the sentences
-    were cut: every space-separated token is hashed with its position in the document.
+    Equal when the sentences joined by spaces are equal, wherever the sentences were cut, and
+    otherwise different up to a collision of 128 bits: every space-separated token is hashed
+    with its position in the document.
     Positions come from running totals over spans of sentence numbers and the hashes
     combine by XOR, so no document is ever assembled in one place.
     """
@@ -140,33 +164,34 @@ def drop_duplicate_documents(df: DataFrame) -> DataFrame:
 def conflicting_texts(df: DataFrame) -> DataFrame:
     """Texts seen with more than one label, with their row counts."""
     return (
-        df.groupBy("text")
+        df.groupBy(text_key(F.col("text")).alias("_key"))
         .agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"),
-             F.count(F.lit(1)).alias("rows"))
+             F.count(F.lit(1)).alias("rows"), F.any_value("text").alias("text"))
         .where("_lo <> _hi").select("text", "rows")
     )
 
 
 def drop_conflicting_texts(df: DataFrame) -> DataFrame:
     """Remove every row of a text seen with more than one label."""
-    return df.join(conflicting_texts(df).select("text"), "text", "left_anti")
+    keyed = df.withColumn("_key", text_key(F.col("text")))
+    bad = keyed.groupBy("_key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi")
+    return keyed.join(bad.select("_key"), "_key", "left_anti").select(*df.columns)
 
 
 def drop_sentence_overlap(df: DataFrame) -> DataFrame:
     """Conflicting texts removed and one row kept per remaining text, in one shuffle."""
-    rest = [c for c in df.columns if c != "text"]
-    grouped = df.groupBy("text").agg(
-        F.min_by(F.struct(*rest), F.struct("doc_id", "sent_id")).alias("_row"),
+    grouped = df.groupBy(text_key(F.col("text")).alias("_key")).agg(
+        F.min_by(F.struct(*df.columns), F.struct("doc_id", "sent_id")).alias("_row"),
         F.min("label").alias("_lo"), F.max("label").alias("_hi"),
     )
-    return grouped.where("_lo = _hi").select("text", "_row.*").select(*df.columns)
+    return grouped.where("_lo = _hi").select("_row.*")
 
 
 def dedup_audit(df: DataFrame) -> DataFrame:
     """One row of before/after counts for the two de-duplication steps."""
     prints = document_fingerprints(df)
     surviving = df.join(duplicate_documents(prints), "doc_id", "left_anti")
-    texts = surviving.groupBy("text").agg(
+    texts = surviving.groupBy(text_key(F.col("text")).alias("_key")).agg(
         F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"),
         F.min(F.struct("doc_id", "sent_id")).alias("first"),
     )

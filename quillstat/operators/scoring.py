@@ -7,17 +7,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import style, text as tx
-from ..functions.constants import BANDS
+from ..functions.constants import BANDS, INTERVAL_METHOD
 from ..functions.state import spread_by
 from ..functions.text import hash_unit_key
 from .corpus import label_name
 from .evaluate import interval_of
 from .running import running_total
 from .sentences import display_sentences, whitespace_words
-from .tfidf import BROADCAST_TERMS
 
-# A scorer adds a probability column for a text column to any table.
-Scorer = Callable[[DataFrame, str, str], DataFrame]
+# A scorer adds a probability column for a text column to any table. Keywords ``position`` and
+# ``total`` are columns with the text's place among the sentences of its document.
+Scorer = Callable[..., DataFrame]
 
 
 def sigmoid(z: Column) -> Column:
@@ -35,10 +35,12 @@ class StyleModel:
         return sum((F.col(f) * F.lit(float(w)) for f, w in self.coefficients.items()),
                    F.lit(float(self.intercept)))
 
-    def __call__(self, df: DataFrame, text_col: str, out: str) -> DataFrame:
+    def __call__(self, df: DataFrame, text_col: str, out: str, *, position: Column | None = None,
+                 total: Column | None = None) -> DataFrame:
         names = list(self.coefficients)
         scored = style.stylometry(
-            df.withColumn("_scored_text", F.col(text_col)), text_col="_scored_text", features=names
+            df.withColumn("_scored_text", F.col(text_col)), text_col="_scored_text", features=names,
+            position=F.lit(0) if position is None else position, total=F.lit(1) if total is None else total,
         )
         return scored.withColumn(out, tx.computed_once(sigmoid(self.margin()))).drop("_scored_text", *names)
 
@@ -47,11 +49,10 @@ def linear_scores(long_weights: DataFrame, coefficients: DataFrame, *, intercept
                   id_col: str = "sample_id", terms: int | None = None) -> DataFrame:
     """Probability per row from a long feature table and ``term, coefficient``.
 
-    ``terms`` bounds the coefficient table; only within that bound it is broadcast.
+    Whether the coefficients are broadcast is left to adaptive execution, which sees their size;
+    ``terms`` is accepted for older callers and has no effect.
     """
     table = coefficients.select("term", "coefficient")
-    if terms is not None and terms <= BROADCAST_TERMS:
-        table = F.broadcast(table)
     z = F.sum(F.col("weight") * F.col("coefficient")) + F.lit(float(intercept))
     return (
         long_weights.join(table, "term").groupBy(id_col).agg(z.alias("margin"))
@@ -108,13 +109,15 @@ def two_level_scores(df: DataFrame, *, sentence_scorer: Scorer, document_scorer:
         whole.select(
             id_col, "ai_probability",
             (F.col("normalised") != tx.strip(F.col("text"))).alias("normalisation_applied"),
+            F.size(tx.sentences(F.col("_clean"))).alias("_count"),
             F.posexplode(F.arrays_zip(
                 F.col("display").alias("shown"), tx.sentences(F.col("_clean")).alias("scored")
             )).alias("sent_id", "_s"))
-        .select(id_col, "ai_probability", "normalisation_applied", "sent_id",
+        .select(id_col, "ai_probability", "normalisation_applied", "sent_id", "_count",
                 F.col("_s.shown").alias("shown"), F.col("_s.scored").alias("scored"))
     )
-    scored = sentence_scorer(parts, "scored", "score").select(
+    scored = sentence_scorer(
+        parts, "scored", "score", position=F.col("sent_id"), total=F.col("_count")).select(
         id_col, "ai_probability", "normalisation_applied", "sent_id", "shown", "score")
     row = F.struct("sent_id", F.col("shown").alias("text"),
                    label_name(verdict(F.col("score"))).alias("label"),
@@ -128,7 +131,7 @@ def two_level_scores(df: DataFrame, *, sentence_scorer: Scorer, document_scorer:
         F.col("_rows.ai_probability"), hash_unit_key(F.col(id_col), seed=seed)))
     span = F.when(F.col("_range.lower").isNotNull(), F.struct(
         "_range.lower", "_range.upper",
-        F.lit("95% bootstrap interval across sentence AI probabilities").alias("method"),
+        F.lit(INTERVAL_METHOD).alias("method"),
     ))
     return gathered.select(
         id_col, label_name(verdict(p)).alias("prediction"), p, confidence(p).alias("confidence"),

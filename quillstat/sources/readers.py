@@ -61,7 +61,7 @@ def resolve_columns(df: DataFrame, *, name: str = "input", text_aliases=TEXT_ALI
     text = next((found[a] for a in text_aliases if a in found), None)
     label = next((found[a] for a in wanted_label if a in found), None)
     if text is None or label is None:
-        raise ValueError(f"{name}: no text/label columns. Found: {df.columns}")
+        raise ValueError(f"{name} lacks a column for text or label; it has {', '.join(df.columns)}")
     return df.select(F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").alias("label"))
 
 
@@ -91,18 +91,20 @@ def training_dataset(spark: SparkSession, path: str, *, text_column: str = "text
     return raw
 
 
-def pick_member(names: list[str], member: str | None, suffix: str = "clean_dataset.csv") -> str:
-    """The named archive member, or the only one with the expected ending."""
-    candidates = [n for n in names if n.endswith(suffix)]
-    chosen = member or (candidates[0] if len(candidates) == 1 else None)
-    if not chosen or chosen not in names:
-        raise ValueError(f"Could not uniquely locate {suffix} in the ZIP. Name the member to read.")
-    return chosen
+def _member(archive: zipfile.ZipFile, wanted: str | None) -> str:
+    """The member to read: the one named, else the archive's only CSV file."""
+    tables = [i.filename for i in archive.infolist() if not i.is_dir() and i.filename.lower().endswith(".csv")]
+    if wanted is None and len(tables) == 1:
+        return tables[0]
+    if wanted in archive.namelist():
+        return wanted
+    raise ValueError(f"name one member to read; the archive holds {tables}")
 
 
 def zipped_csv(spark: SparkSession, path: str, *, columns: list[str] | None = None,
                member: str | None = None, batch_rows: int = 10_000) -> DataFrame:
-    """CSV rows out of ZIP archives, all columns as strings, one task per archive.
+    """CSV rows out of ZIP archives, all columns as strings, one task per archive: a convenience
+    for small files, not for scale.
 
     ``columns`` names the columns to read; without it the header of the first archive does.
     """
@@ -110,7 +112,7 @@ def zipped_csv(spark: SparkSession, path: str, *, columns: list[str] | None = No
 
     def rows_of(content: bytes, **options) -> Iterator[pd.DataFrame]:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            with archive.open(pick_member(archive.namelist(), member)) as handle:
+            with archive.open(_member(archive, member)) as handle:
                 yield from pd.read_csv(handle, dtype=str, keep_default_na=False, na_values=[""],
                                        chunksize=batch_rows, **options)
 

@@ -10,9 +10,12 @@ from ..plans.scoring import score_batch
 
 def score_stream(texts: DataFrame, *, sentence_scorer: Scorer, document_scorer: Scorer,
                  accepted_path: str, rejected_path: str, checkpoint: str, id_col: str = "doc_id",
-                 **limits) -> StreamingQuery:
+                 trigger: dict | None = None, **limits) -> StreamingQuery:
     """Score a stream of texts with the batch code; two Parquet sinks by outcome.
 
+    ``trigger`` has the keywords of ``DataStreamWriter.trigger``; by default what is there is
+    scored and the query ends.
+
     Each micro-batch overwrites its own ``batch`` partition, so a batch replayed after a
     failure leaves no duplicates.
     """
@@ -29,7 +32,7 @@ def score_stream(texts: DataFrame, *, sentence_scorer: Scorer, document_scorer:
 
     return (
         texts.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(**(trigger or {"availableNow": True})).start()
     )
 
 
@@ -51,10 +54,11 @@ def outcome_windows(outcomes: DataFrame, *, time: str, code: str, value: str, wi
     )
 
 
-def append_session_log(entries: DataFrame, *, path: str, checkpoint: str) -> StreamingQuery:
-    """Append scored checks to a table partitioned by day of arrival."""
+def append_session_log(entries: DataFrame, *, path: str, checkpoint: str,
+                       trigger: dict | None = None) -> StreamingQuery:
+    """Append scored checks to a table partitioned by day of arrival; ``trigger`` as in ``score_stream``."""
     return (
         entries.withColumn("day", F.current_date())
         .writeStream.outputMode("append").format("parquet").partitionBy("day")
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start(path)
     )

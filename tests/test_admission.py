@@ -60,3 +60,9 @@ def test_stream_equals_batch_over_several_micro_batches(spark, tmp_path):
     got = {r.n: r.admitted for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == limiter(rows, 2, 30)
     assert spark.read.parquet(str(tmp_path / "out")).select(F.count("n")).first()[0] == 120
+
+
+def test_equal_requests_stay_as_many(spark):
+    rows = [("a", 0, 7), ("a", 0, 7), ("a", 0, 7)]
+    got = admit_requests(table(spark, rows), key="client", time="at", order=["n"], limit=2, window_seconds=60).collect()
+    assert len(got) == 3 and sum(r.admitted for r in got) == 2
