@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import query, table
+from .common import LOWER, UPPER, query, table
 
 WINDOW = 10
 #: Most bytes of item texts in one automaton, and so in one broadcast.
@@ -114,7 +114,30 @@ def hit_words(spans):
     return F.size(F.array_distinct(F.flatten(F.transform(spans, lambda s: F.sequence(s.first_word, s.last_word))))).cast("long")
 
 
-@query("op8_decontaminate")
+_SPLIT = (f"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+_SQL = f"""
+WITH i AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_SPLIT} AS w FROM benchmark),
+v AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[k:k + least(len(w), 10) - 1], ' ') AS v
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM i WHERE len(w) > 0)
+),
+s AS (SELECT DISTINCT n FROM v),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_SPLIT} AS w FROM documents),
+x AS (
+  SELECT r, k, n, array_to_string(w[k:k + n - 1], ' ') AS v
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d JOIN s ON len(w) >= n)
+),
+h AS (SELECT r, k, x.n, item FROM x JOIN v ON x.n = v.n AND x.v = v.v),
+c AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS p FROM h) GROUP BY r),
+o AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+SELECT doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON d.r = c.r LEFT JOIN o ON d.r = o.r
+"""
+
+
+@query("op8_decontaminate", _SQL)
 def op8(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = find_leaks(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
