@@ -3,6 +3,7 @@ import pytest
 
 import __spark_entry__ as registered
 from check import differences
+from quillstat.catalogue import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ("documents", "labels", "conversations", "events", "embeddings", "benchmark", "pages")
@@ -23,6 +24,6 @@ def test_query_equals_its_sql(spark, name):
 
 def test_registration():
     queries, oracle = registered.queries(), registered.oracle_sql()
-    assert set(oracle) <= set(queries)
-    assert set(queries) - set(oracle) == {
+    assert set(oracle) <= set(queries) and set(QUERIES) <= set(queries)
+    assert set(QUERIES) - set(oracle) == {
         "kmeans_fit", "kmeans_sweep", "eps_sweep", "pca2", "train_logistic", "train_svm_calibrated", "train_trees"}
