@@ -72,7 +72,7 @@ def test_constraints_report_each_violation(spark):
                    "thin_class": 2}
     with pytest.raises(ValueError, match="null or blank"):
         quality.enforce(report)
-    with pytest.raises(ValueError, match="missing required columns"):
+    with pytest.raises(ValueError, match="lacks body"):
         quality.require_columns(frame, {"body"})
 
 
