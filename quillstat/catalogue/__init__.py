@@ -1,7 +1,7 @@
 """Registered queries over the driver tables, each with its SQL twin where SQL has one."""
 
-from . import cluster, corpus, evaluate, explore, features, quality, robustness, stream, text, train
+from . import cluster, corpus, evaluate, explore, features, jobs, quality, robustness, stream, text, train
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "cluster", "corpus", "evaluate", "explore", "features",
+__all__ = ["ORACLES", "QUERIES", "cluster", "corpus", "evaluate", "explore", "features", "jobs",
            "quality", "robustness", "stream", "text", "train"]

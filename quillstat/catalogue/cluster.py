@@ -116,7 +116,7 @@ def core_flags(t: Tables):
     return cluster.core_flags(class_points(t), eps=1.0, min_samples=16)
 
 
-_DBSCAN = f"""WITH RECURSIVE {EPS},
+DBSCAN = f"""WITH RECURSIVE {EPS},
   links AS (SELECT n.pid, n.other FROM near n JOIN counts a ON n.pid = a.pid AND a.is_core JOIN counts b ON n.other = b.pid AND b.is_core),
   reach(root, pid) AS (SELECT pid, pid FROM counts WHERE is_core UNION SELECT r.root, l.other FROM reach r JOIN links l ON r.pid = l.pid),
   comp AS (SELECT pid, min(root) AS component FROM reach GROUP BY pid),
@@ -128,12 +128,12 @@ _DBSCAN = f"""WITH RECURSIVE {EPS},
     LEFT JOIN numbers ON named.component = numbers.component)"""
 
 
-@query("dbscan", f"{_DBSCAN} SELECT pid, cluster, is_core FROM result")
+@query("dbscan", f"{DBSCAN} SELECT pid, cluster, is_core FROM result")
 def dbscan(t: Tables):
     return cluster.dbscan(class_points(t), eps=1.0, min_samples=16)
 
 
-@query("noise_summary", f"""{_DBSCAN} SELECT count(DISTINCT cluster) FILTER (cluster <> -1) AS clusters,
+@query("noise_summary", f"""{DBSCAN} SELECT count(DISTINCT cluster) FILTER (cluster <> -1) AS clusters,
     count(*) FILTER (cluster = -1) AS noise, count(*) AS points, count(*) FILTER (cluster = -1) / count(*) AS noise_share FROM result""")
 def noise_summary(t: Tables):
     return cluster.noise_summary(cluster.dbscan(class_points(t), eps=1.0, min_samples=16))
@@ -170,11 +170,34 @@ def kmeans_sweep(t: Tables):
     return cluster.kmeans_sweep(class_points(t))
 
 
-@query("eps_sweep")
+_NOISE = """count(DISTINCT cluster) FILTER (cluster <> -1) AS clusters, count(*) FILTER (cluster = -1) AS noise,
+    count(*) AS points, count(*) FILTER (cluster = -1) / count(*) AS noise_share"""
+
+
+def _noise_at(eps: float) -> str:
+    return f"SELECT {eps}::DOUBLE AS eps, * FROM ({DBSCAN.replace('<= 1.0)', f'<= {eps})')} SELECT {_NOISE} FROM result)"
+
+
+@query("eps_sweep", " UNION ALL ".join(_noise_at(eps) for eps in (0.5, 0.8, 1.0, 1.3)))
 def eps_sweep(t: Tables):
     return cluster.eps_sweep(class_points(t))
 
 
-@query("pca2")
+# Power iteration; the second axis stays orthogonal to the first.
+_UNIT = "list_transform(w, lambda x: x / sqrt(list_dot_product(w, w)))"
+_SIGNED = "list_transform(v, lambda x: CASE WHEN list_max(v) >= -list_min(v) THEN x ELSE -x END)"
+
+
+@query("pca2", f"""WITH RECURSIVE {PTS}, cells AS (SELECT pid, unnest(vec) AS x, unnest(range(len(vec))) AS i FROM pts),
+  pairs AS (SELECT a.i AS i, b.i AS j, covar_pop(a.x, b.x) AS s FROM cells a JOIN cells b ON a.pid = b.pid GROUP BY a.i, b.i),
+  m AS MATERIALIZED (SELECT list(r ORDER BY i) AS c FROM (SELECT i, list(s ORDER BY j) AS r FROM pairs GROUP BY i)),
+  one(n, v) AS (SELECT 0, list_transform(c, lambda r, i: 1.0 / i) FROM m
+    UNION ALL SELECT n + 1, {_UNIT} FROM (SELECT n, list_transform(c, lambda r: list_dot_product(r, v)) AS w FROM one, m WHERE n < 2000)),
+  axis1 AS MATERIALIZED (SELECT v AS u FROM one WHERE n = 2000),
+  two(n, v) AS (SELECT 0, list_transform(c, lambda r, i: 1.0 / i) FROM m
+    UNION ALL SELECT n + 1, {_UNIT} FROM (SELECT n, list_transform(z, lambda x, i: x - list_dot_product(z, u) * u[i]) AS w
+      FROM (SELECT n, u, list_transform(c, lambda r: list_dot_product(r, v)) AS z FROM two, m, axis1 WHERE n < 2000))),
+  axes AS (SELECT (SELECT {_SIGNED.replace('list_transform(v', 'list_transform(u').replace('(v)', '(u)')} FROM axis1) AS first, (SELECT {_SIGNED} FROM two WHERE n = 2000) AS second)
+  SELECT pid, round(list_dot_product(vec, first), 5) AS pc1, round(list_dot_product(vec, second), 5) AS pc2 FROM pts, axes""")
 def pca2(t: Tables):
-    return cluster.pca2(class_points(t))
+    return cluster.pca2(class_points(t)).select("pid", F.round("pc1", 5).alias("pc1"), F.round("pc2", 5).alias("pc2"))

@@ -94,9 +94,12 @@ _CORPUS_SENTENCES = f"""(SELECT * FROM (
     WHERE regexp_matches(text, '{q.W}'))"""
 
 
-@query("corpus_sentence_table", f"""WITH {_PREPARED} SELECT * FROM {q.features(
+CORPUS_SENTENCES_SQL = f"""WITH {_PREPARED} SELECT * FROM {q.features(
     _CORPUS_SENTENCES, 'doc_id, label, source, prompt, sent_id, text', _STORED,
-    pos='sent_id', total='total', stored=True)}""")
+    pos='sent_id', total='total', stored=True)}"""
+
+
+@query("corpus_sentence_table", CORPUS_SENTENCES_SQL)
 def corpus_sentence_table(t: Tables):
     return corpus_build.sentence_corpus(corpus_build.number_documents(_merged(t)))
 

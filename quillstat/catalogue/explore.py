@@ -113,13 +113,16 @@ def correlation(t: Tables):
     return explore.correlation_matrix(table(t))
 
 
-@query("box_stats", f"""WITH f AS {_TABLE}, {_CAPS}, {_capped(NUMERIC_FEATURES)},
+BOX_STATISTICS = f"""WITH f AS {_TABLE}, {_CAPS}, {_capped(NUMERIC_FEATURES)},
   qs AS (SELECT feature, label, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3
     FROM capped GROUP BY feature, label)
   SELECT feature, label, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
     round(least(min(value) FILTER (value >= q1 - 1.5 * (q3 - q1)), q1), 6) AS whisker_low,
     round(greatest(max(value) FILTER (value <= q3 + 1.5 * (q3 - q1)), q3), 6) AS whisker_high, count(*) AS rows
-  FROM capped JOIN qs USING (feature, label) GROUP BY feature, label, q1, median, q3""")
+  FROM capped JOIN qs USING (feature, label) GROUP BY feature, label, q1, median, q3"""
+
+
+@query("box_stats", BOX_STATISTICS)
 def box_stats(t: Tables):
     stats = explore.box_statistics(stored_table(t))
     return stats.withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")})

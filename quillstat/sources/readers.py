@@ -42,14 +42,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def base_corpus(df: DataFrame) -> DataFrame:
-    """``text, label, source, prompt`` of the base corpus."""
-    return df.withColumnRenamed("prompt_name", "prompt").select("text", "label", "source", "prompt")
+def base_corpus(df: DataFrame, *, keep: Iterable[str] = ()) -> DataFrame:
+    """``text, label, source, prompt`` of the base corpus, and the columns to keep."""
+    return df.withColumnRenamed("prompt_name", "prompt").select("text", "label", "source", "prompt", *keep)
 
 
 def resolve_columns(df: DataFrame, *, name: str = "input", text_aliases=TEXT_ALIASES,
-                    label_aliases=LABEL_ALIASES) -> DataFrame:
-    """Rename the columns of an extra corpus to ``text`` and ``label``.
+                    label_aliases=LABEL_ALIASES, keep: Iterable[str] = ()) -> DataFrame:
+    """Rename the columns of an extra corpus to ``text`` and ``label``; ``keep`` names others to carry on.
 
     Names are compared without case and outer blanks, in the order of the aliases, except
     that an exact ``label`` column wins; further candidates are left alone.
@@ -62,7 +62,7 @@ def resolve_columns(df: DataFrame, *, name: str = "input", text_aliases=TEXT_ALI
     label = next((found[a] for a in wanted_label if a in found), None)
     if text is None or label is None:
         raise ValueError(f"{name} lacks a column for text or label; it has {', '.join(df.columns)}")
-    return df.select(F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").alias("label"))
+    return df.select(F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").alias("label"), *keep)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

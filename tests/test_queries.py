@@ -10,7 +10,7 @@ TABLES = ("documents", "labels", "conversations", "events", "embeddings", "bench
 # One query per family; check.py compares all of them.
 NAMES = ("clean_url_injected", "dup_sentences", "admission_codes", "features_sentence", "split_exact",
          "tfidf_weights", "two_level_scores", "robustness_by_attack", "box_stats", "dbscan",
-         "admission_batch", "corpus_document_table")
+         "admission_batch", "corpus_document_table", "job_density_clusters")
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -26,4 +26,4 @@ def test_registration():
     queries, oracle = registered.queries(), registered.oracle_sql()
     assert set(oracle) <= set(queries) and set(QUERIES) <= set(queries)
     assert set(QUERIES) - set(oracle) == {
-        "kmeans_fit", "kmeans_sweep", "eps_sweep", "pca2", "train_logistic", "train_svm_calibrated", "train_trees"}
+        "kmeans_fit", "kmeans_sweep", "train_logistic", "train_svm_calibrated", "train_trees"}
