@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import HISTOGRAM_FEATURES, NUMERIC_FEATURES
+from ..functions.state import cut_lineage
 from .running import exact_quantiles
 from .scaling import long_features
 
@@ -49,6 +50,18 @@ def quantile_caps(df: DataFrame, *, features=NUMERIC_FEATURES, q: float = 0.99)
         long_features(df, features), by=["feature"], value="value", probabilities={"upper": q})
 
 
+def counted_values(df: DataFrame, *, features=NUMERIC_FEATURES, q: float = 0.99) -> DataFrame:
+    """``label, feature, value, c``: how often each value up to its feature's cap occurs.
+
+    The table is read once; caps and whatever follows come from its counts.
+    """
+    counted = cut_lineage(long_features(df, features, keep=["label"]).where("value is not null").groupBy(
+        "label", "feature", "value").agg(F.count(F.lit(1)).alias("c")))
+    caps = exact_quantiles(counted, by=["feature"], value="value", probabilities={"upper": q}, weight="c")
+    upper = caps.agg(F.map_from_entries(F.collect_list(F.struct("feature", "upper")))).scalar()
+    return counted.where(F.col("value") <= F.try_element_at(upper, F.col("feature")))
+
+
 def capped_values(df: DataFrame, *, features=NUMERIC_FEATURES, q: float = 0.99) -> DataFrame:
     """``label, feature, value`` without the values above each feature's cap."""
     caps = quantile_caps(df, features=features, q=q).agg(
@@ -63,17 +76,15 @@ def density_histogram(df: DataFrame, *, features=HISTOGRAM_FEATURES, bins: int =
 
     The last bin is closed; a constant column gets a range of one around its value.
     """
-    values = capped_values(df, features=features, q=q)
-    spans = values.groupBy("feature", "label").agg(
-        F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    counted = counted_values(df, features=features, q=q)
+    spans = counted.groupBy("feature", "label").agg(
+        F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.sum("c").alias("_n"))
     flat = F.col("_lo") == F.col("_hi")
     spans = spans.select(
         "feature", "label", "_n",
         F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("lo"),
         F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("hi"),
     )
-    # Values are counted before they meet the spans, so a common value is one row per task.
-    counted = values.groupBy("feature", "label", "value").agg(F.count(F.lit(1)).alias("c"))
     place = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
     width = (F.col("hi") - F.col("lo")) / bins
     return (
@@ -117,11 +128,10 @@ def box_statistics(df: DataFrame, *, features=NUMERIC_FEATURES, q: float = 0.99)
 
     A whisker ends at the furthest value within 1.5 interquartile ranges of the box.
     """
-    values = capped_values(df, features=features, q=q)
+    counted = counted_values(df, features=features, q=q)
     quartiles = exact_quantiles(
-        values, by=["feature", "label"], value="value",
+        counted, by=["feature", "label"], value="value", weight="c",
         probabilities={"q1": 0.25, "median": 0.5, "q3": 0.75})
-    counted = values.groupBy("feature", "label", "value").agg(F.count(F.lit(1)).alias("c"))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     v = F.col("value")
     return (

@@ -109,31 +109,22 @@ def dense_index(
 
 def exact_quantiles(
     df: DataFrame, *, by: list[str], value: str, probabilities: dict[str, float],
-    buckets: int = 1024,
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per group, one column per name.
 
     The built-in ``percentile`` holds every distinct value of a group in one task. Here
-    values are counted first (map-side), the distinct ones are spread over value buckets
-    and cumulated, and only the few values at the wanted ranks are aggregated.
+    values are counted first (map-side; ``weight`` is a count already taken), the distinct ones
+    are range-sorted and cumulated with one offset per partition, and only the few values at the
+    wanted ranks are aggregated. The sort is checkpointed because a repeated one may cut elsewhere.
     """
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    )
-    spans = counted.groupBy(*by).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_n")
-    )
-    joined = counted.join(spans, by) if by else counted.withColumn(
-        "_s", spans.select(F.struct("_lo", "_hi", "_n")).scalar()
-    ).select("*", "_s.*").drop("_s")
-    place = F.coalesce(
-        F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0)
-    )
+    counted = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v")).agg(
+        (F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("_c"))
+    placed = cut_lineage(counted.repartitionByRange(*by, "_v").withColumn("_part", F.spark_partition_id()))
+    totals = placed.groupBy(*by).agg(F.sum("_c").alias("_n"))
+    joined = placed.join(totals, by) if by else placed.withColumn("_n", totals.scalar())
     cumulated = running_total(
-        joined, keys=by, bucket=F.floor(place * buckets), order=["_v"], value=F.col("_c"),
-        out="_cum",
-    )
+        joined, keys=by, bucket=F.col("_part"), order=["_v"], value=F.col("_c"), out="_cum")
     picks, results = [], []
     for name, p in probabilities.items():
         rank = (F.col("_n") - 1) * F.lit(float(p))
