@@ -109,18 +109,20 @@ def dense_index(
 
 def exact_quantiles(
     df: DataFrame, *, by: list[str], value: str, probabilities: dict[str, float],
-    weight: str | None = None,
+    weight: str | None = None, buckets: int | None = None,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per group, one column per name.
 
     The built-in ``percentile`` holds every distinct value of a group in one task. Here
     values are counted first (map-side; ``weight`` is a count already taken), the distinct ones
     are range-sorted and cumulated with one offset per partition, and only the few values at the
-    wanted ranks are aggregated. The sort is checkpointed because a repeated one may cut elsewhere.
+    wanted ranks are aggregated. ``buckets`` fixes the number of partitions. The sort is checkpointed because a repeated one may cut elsewhere.
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v")).agg(
         (F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("_c"))
-    placed = cut_lineage(counted.repartitionByRange(*by, "_v").withColumn("_part", F.spark_partition_id()))
+    order = [*by, "_v"]
+    spread = counted.repartitionByRange(buckets, *order) if buckets else counted.repartitionByRange(*order)
+    placed = cut_lineage(spread.withColumn("_part", F.spark_partition_id()))
     totals = placed.groupBy(*by).agg(F.sum("_c").alias("_n"))
     joined = placed.join(totals, by) if by else placed.withColumn("_n", totals.scalar())
     cumulated = running_total(
