@@ -141,3 +141,15 @@ def test_keys_on_computed_tables(spark):
     from quillstat.operators import corpus
     made = spark.range(3).select(F.concat(F.lit("t"), "id").alias("text")).unionAll(spark.range(2).select(F.lit("u").alias("text")))
     assert sorted(r.doc_id for r in corpus.with_keys(made).collect()) == list(range(5))
+
+
+def test_calibration_folds_share_classes_evenly_and_keep_documents_whole(spark):
+    from quillstat.operators.models import FOLDS, _with_folds
+
+    rows = [(d, s, 1 if d % 4 == 0 else 0) for d in range(48) for s in range(1 + d % 3)]
+    got = _with_folds(spark.createDataFrame(rows, "doc_id long, sent_id int, label int"), 42).collect()
+    assert sorted((r.doc_id, r.sent_id, r.label) for r in got) == sorted(rows)
+    places = {(r.doc_id, r.label, r._fold) for r in got}
+    assert len(places) == 48
+    for label, share in ((0, 36 // FOLDS), (1, 12 // FOLDS)):
+        assert [sum(p[1:] == (label, f) for p in places) for f in range(FOLDS)] == [share] * FOLDS
