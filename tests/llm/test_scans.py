@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -86,6 +87,30 @@ def test_licenses(spark, messy, nothing):
     assert 0.5 <= got[3].score < 1 and licenses.scan(nothing).count() == 0
 
 
+def test_several_licenses_in_a_file(spark):
+    bodies = [(label, text) for label, text, _ in licenses.TEMPLATES]
+    files = [[x] for x in bodies] + [[x, y] for x in bodies for y in bodies if x != y] + [bodies, bodies[::-1]]
+    rows = [(k, ".\nAnd, of the work: ".join(text for _, text in file)) for k, file in enumerate(files)]
+    # the end of one notice at the start of a text, before another whole one
+    rows.append((len(files), "Source and binary forms, or Mozilla Public License v 2 0. Licensed under CC BY-SA 4.0"))
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, file in enumerate(files):
+        assert {label for label, _ in file} <= set(got[k].labels.split(",")), file
+    texts = [WORD.findall(text.translate(A_Z)) for _, text in rows]
+    counts = Counter(w for words in texts for w in set(words))
+    idf = {w: round(math.log((1 + len(rows)) / (1 + n)) + 1, 6) for w, n in counts.items()}
+    for k, words in enumerate(texts):
+        best, labels = 0, set(got[k].base_labels.split(",")) - {""}
+        for label, body, key in licenses.TEMPLATES:
+            body = body.split()
+            for start in range(1 - len(body), len(words)):
+                if f" {key} " in f" {' '.join(words[max(0, start):start + len(body)])} ":
+                    share = sum(idf[w] for i, w in enumerate(body, start) if 0 <= i < len(words) and words[i] == w) / sum(idf[w] for w in body)
+                    best = max(best, share)
+                    labels |= {label} if round(share, 6) >= licenses.SHARE else set()
+        assert got[k].labels == ",".join(sorted(labels)) and abs(got[k].score - best) < 2e-6
+
+
 def test_quality(spark, messy, nothing):
     rows = messy.collect()
     want = []
