@@ -27,7 +27,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) ->
     """Texts without later lines that resemble earlier ones; ``n_chars`` follows the text. Documents
     that lose all their words with these lines go; others stay, however short."""
     ship_package(spark)
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(docs, short=True)
     empty = (F.col("n_removed") > 0) & ~F.coalesce(F.col("text").rlike(f"[^{common.BLANKS}]"), F.lit(False))
     return out.filter(~empty).select(*[
         F.col(c) if c in ("doc_id", "text") else

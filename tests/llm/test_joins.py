@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from quillstat.llm import deal, jaccard_join, line_dedup, shingles, suffix_dedup
 from quillstat.llm.components import components
 
@@ -109,6 +110,30 @@ def test_lines(spark, messy, nothing, monkeypatch):
     assert line_dedup.dedup_lines(nothing).count() == 0
 
 
+def test_short_lines(spark, messy, tmp_path):
+    extra = [(100, "Home | About\n\nby  Ann\nfirst long line of six words"), (101, "BY ann\nhome | about\nhome about"), (102, "home\t| ABOUT"),
+             (103, "first long line of six words\nby ann lee fox gray\nby ann lee fox"), (104, "By Ann Lee Fox Gray\nby ann lee fox")]
+    docs = messy.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string"))
+    seen, want = [], []
+    for r in rows_of(docs):
+        lines, kept = [] if r.text is None else r.text.split("\n"), []
+        for line in lines:
+            own = shingle_set(words(line), True)
+            if not any(similar(own, s) for s in seen):
+                kept.append(line)
+            if own:
+                seen.append(own)
+        want.append((id_of(r.doc_id), len(lines), len(lines) - len(kept), None if r.text is None else "\n".join(kept)))
+    assert any(n == k == 1 for _, n, k, _ in want)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = line_dedup.op6(spark, str(tmp_path)).collect()
+    assert Counter((id_of(r.doc_id), r.n_lines, r.n_removed, r.kept_sha256) for r in found) == Counter(
+        (d, n, k, hashlib.sha256((t or "").encode()).hexdigest()) for d, n, k, t in want)
+    stage = corpus_pipeline.without_repeated_lines(spark, docs, str(tmp_path)).collect()
+    assert Counter((id_of(r.doc_id), r.text) for r in stage) == Counter(
+        (d, t) for d, _, k, t in want if not k or words(t))
+
+
 def test_repeats(spark, messy, nothing, monkeypatch):
     rows = rows_of(messy)
     first = {}
