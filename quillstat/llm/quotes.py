@@ -2,7 +2,8 @@
 
 Lines that begin with ``>`` are quotes, each further ``>`` is a level. Runs of lines with one level
 are passages. A passage links to the earliest message before it in the conversation whose own words
-are, or hold as a line, the same normalised words; both sides meet by hash. DataFrame functions only.
+are, or hold as a line, the same normalised words; where there is none, to the earliest that holds
+its lines in a row. Both sides meet by hash. DataFrame functions only.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from .common import query, table, written
 
 _MARKS = "^((?:[ \\t]*>)+)[ \\t]?"
+_PASSAGE = ["conv_id", "turn", "th", "level", "at"]
 
 
 def normalised(text: Column) -> Column:
@@ -48,6 +50,23 @@ def units(messages: DataFrame) -> DataFrame:
         "conv_id", key_of(F.col("part")).alias("key"), F.col("turn").alias("origin")).distinct()
 
 
+def runs(messages: DataFrame, lengths: DataFrame) -> DataFrame:
+    """``conv_id, key, origin``: earliest message with these words as a run of its own lines with words.
+
+    ``lengths`` has the numbers ``n`` of lines to try in each ``conv_id``; a run is a part of its message.
+    """
+    lines = F.filter(F.transform(own_lines(F.col("text")), normalised), lambda x: x != "")
+    own = messages.select("conv_id", "turn", lines.alias("lines")).filter(F.size("lines") > 2)
+    own = own.join(lengths, "conv_id").filter(F.size("lines") > F.col("n"))
+    keys = F.transform(F.sequence(F.lit(1), F.size("lines") - F.col("n") + 1),
+                       lambda k: F.sha2(F.array_join(F.slice("lines", k, F.col("n")), " ").cast("binary"), 256))
+    return own.select("conv_id", "turn", F.explode(keys).alias("key")).groupBy("conv_id", "key").agg(F.min("turn").alias("origin"))
+
+
+def _earliest(quoted: DataFrame, origins: DataFrame) -> DataFrame:
+    return quoted.join(origins, ["conv_id", "key"]).filter("origin < turn").groupBy(*_PASSAGE).agg(F.min("origin").alias("origin"))
+
+
 def link_quotes(messages: DataFrame) -> DataFrame:
     """``conv_id, turn, role, text, own_text, n_quotes, n_linked, parent_turn, root_turn, depth``.
 
@@ -61,9 +80,11 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     rows = messages.select("conv_id", "turn", "role", "text", F.xxhash64("text").alias("th"))
     quoted = written(passages(rows), "passages")
     here = units(rows.join(quoted.select("conv_id").distinct(), "conv_id", "left_semi"))
-    links = quoted.join(here, ["conv_id", "key"]).filter("origin < turn").groupBy(
-        "conv_id", "turn", "th", "level", "at").agg(F.min("origin").alias("origin"))
-    told = quoted.join(links, ["conv_id", "turn", "th", "level", "at"], "left").groupBy("conv_id", "turn", "th").agg(
+    links = written(_earliest(quoted, here), "links")
+    n = F.size(F.filter(F.split("passage", "\n"), lambda x: normalised(x) != ""))
+    open_ = written(quoted.join(links, _PASSAGE, "left_anti").withColumn("n", n).filter("n > 1"), "open-passages")
+    links = links.union(_earliest(open_, runs(rows, open_.select("conv_id", "n").distinct())))
+    told = quoted.join(links, _PASSAGE, "left").groupBy("conv_id", "turn", "th").agg(
         F.count(F.lit(1)).alias("n_quotes"), F.count("origin").alias("n_linked"),
         F.min(F.when(F.col("origin").isNotNull(), F.struct("level", "at", "origin"))).alias("best"))
     told = told.select("conv_id", "turn", "th", "n_quotes", "n_linked", F.col("best.origin").alias("parent_turn"))

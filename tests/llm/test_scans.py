@@ -215,6 +215,21 @@ def test_quotes(spark):
     assert quotes.link_quotes(rows.limit(0)).count() == 0
 
 
+def test_quotes_of_several_lines(spark):
+    rows = [(1, 0, "One\n\ntwo  words\nthree\nfour"), (1, 1, "> TWO words\n> three\nsure"), (1, 2, "> sure\nthen"), (1, 3, "> one\n> three\nskips a line"),
+            (1, 4, "> three\n> two words\nturned round"), (1, 5, "one\ntwo words\nthree\nfour\nfive"), (1, 6, "> three\n> four\n> five\nlater"),
+            (1, 7, "> One\n>\n> two words\nblank between"), (1, 8, ">> two words\n>> three\n> sure\nboth"), (1, 9, "> four\n> five\n> six\nnobody"),
+            (1, 10, "x\n> other\ny\nz"), (1, 11, "> x\n> y\nown lines"), (1, 12, "three\nfour"), (1, 13, "> three\n> four\nthe whole of 12"),
+            (2, 1, "> two words\n> three\nnot here"), (3, 0, "> a\n> b\nbefore"), (3, 1, "a\nb\nc"), (None, 0, "a\nb\nc"), (None, 1, "> a\n> b")]
+    rows = spark.createDataFrame([(c, t, "u", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): (r.n_quotes, r.n_linked, r.parent_turn, r.root_turn, r.depth) for r in quotes.link_quotes(rows).collect()}
+    assert got[1, 1] == (1, 1, 0, 0, 1) and got[1, 2] == (1, 1, 1, 0, 2)
+    assert got[1, 3] == (1, 0, None, 3, 0) and got[1, 4] == (1, 0, None, 4, 0)
+    assert got[1, 6] == (1, 1, 5, 5, 1) and got[1, 7] == (1, 1, 0, 0, 1) and got[1, 8] == (2, 2, 1, 0, 2)
+    assert got[1, 9] == (1, 0, None, 9, 0) and got[1, 11] == (1, 1, 10, 10, 1) and got[1, 13] == (1, 1, 12, 12, 1)
+    assert got[2, 1][1] == got[3, 0][1] == got[None, 1][1] == 0
+
+
 def test_queries_and_stages(spark):
     folder = "/root/testdata/sf0.001"
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 11))
