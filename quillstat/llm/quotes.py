@@ -43,11 +43,11 @@ def passages(messages: DataFrame) -> DataFrame:
 
 
 def units(messages: DataFrame) -> DataFrame:
-    """``conv_id, key, origin``: earliest own text or own line with these words, and later ones."""
+    """``conv_id, key, origin``: earliest message with these words as its own text or an own line."""
     own = messages.select("conv_id", "turn", own_lines(F.col("text")).alias("lines"))
     parts = own.select("conv_id", "turn", F.explode(F.array_union("lines", F.array(F.array_join("lines", "\n")))).alias("part"))
     return parts.filter(normalised(F.col("part")) != "").select(
-        "conv_id", key_of(F.col("part")).alias("key"), F.col("turn").alias("origin")).distinct()
+        "conv_id", key_of(F.col("part")).alias("key"), "turn").groupBy("conv_id", "key").agg(F.min("turn").alias("origin"))
 
 
 def runs(messages: DataFrame, lengths: DataFrame) -> DataFrame:

@@ -230,6 +230,14 @@ def test_quotes_of_several_lines(spark):
     assert got[2, 1][1] == got[3, 0][1] == got[None, 1][1] == 0
 
 
+def test_a_common_line_has_one_origin(spark):
+    rows = [(1, t, "u", "same\n> same") for t in range(30)] + [(1, None, "u", "same"), (2, 5, "u", "same")]
+    rows = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert sorted((r.conv_id, r.origin) for r in quotes.units(rows).collect()) == [(1, 0), (2, 5)]
+    got = {(r.conv_id, r.turn): r.parent_turn for r in quotes.link_quotes(rows).collect()}
+    assert got[1, 0] is None and all(got[1, t] == 0 for t in range(1, 30))
+
+
 def test_queries_and_stages(spark):
     folder = "/root/testdata/sf0.001"
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 11))
