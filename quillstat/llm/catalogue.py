@@ -1,7 +1,7 @@
 """All queries of this subpackage."""
 
 from . import (  # noqa: F401
-    decontaminate, host_rules, jaccard_join, language, licenses, line_dedup, mixing, quotes,
+    alignment, decontaminate, host_rules, jaccard_join, language, licenses, line_dedup, mixing, quotes,
     suffix_dedup, warc,
 )
 from .common import ORACLES, QUERIES  # noqa: F401

@@ -43,13 +43,13 @@ def new_folder(spark: SparkSession, what: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
+def written(df: DataFrame, what: str, **options) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again: it is computed once,
     and its reader survives the loss of executors. The folder is left to the cluster's
     retention of ``spark.checkpoint.dir``."""
     spark = df.sparkSession
     path = new_folder(spark, what)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
