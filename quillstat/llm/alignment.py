@@ -5,15 +5,13 @@ with the number of its copies as weight. Pairs of token ids are counted by docum
 of the written alignments counts its own pairs, the counts of all files are added by pair, and
 each file gets back the totals of its own pairs only. No table of all pairs is ever broadcast and
 a pair of every document costs one row a file.
-
-Inside a task, texts are cut where neither tokenizer can join two sides (see ``Vocabularies``);
-the pieces repeat, so most are looked up instead of tokenised.
 """
 
+import json
 import os
 import re
-from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +23,8 @@ from .common import query, table, written
 A_FILE, B_FILE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: Both vocabularies are broadcast; larger files are refused.
 VOCABULARY_BYTES = 64 << 20
-#: Pieces of text whose alignment a task keeps, and their longest length.
-CACHE, LONG = 150_000, 64
+#: Characters of text that are aligned in one go; a longer text is one alone.
+TOGETHER = 1 << 20
 #: Distinct texts in one file of alignments, the unit that asks for totals.
 FILE_TEXTS = 50_000
 _SIZES = ["n_a", "n_b", "n_groups", "n_links"]
@@ -34,97 +32,134 @@ COLUMNS = [*_SIZES, "n_best", "count_sum", "groups"]
 
 
 class Vocabularies:
-    """Two tokenizers: A a byte-level BPE without prefix space, B a sentencepiece model.
-
-    A piece of text begins at a space, tab or line feed after another sort of character. A's words
-    never reach over that place. B's symbols are joined only into pieces of its vocabulary, so the
-    same holds where no piece has such a pair; a blank for which one has is not cut at.
-    """
+    """Two tokenizers: A a byte-level BPE without prefix space, B a sentencepiece model that adds one."""
 
     def __init__(self, a: bytes, b: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(a.decode())
-        self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
-        letters = _byte_letters()
-        self.a_bytes = [_decoded(self.a.id_to_token(k), letters) for k in range(self.a.get_vocab_size())]
-        self.b_bytes = [self._b_piece(k) for k in range(self.b.get_piece_size())]
-        pieces = [self.b.id_to_piece(k).replace("▁", " ") for k in range(self.b.get_piece_size())
-                  if not (self.b.is_byte(k) or self.b.is_control(k) or self.b.is_unknown(k))]
-        cuts = "".join(c for c in " \t\n" if not any(re.search(rf"\S{c}", p) for p in pieces))
-        self.cut = re.compile(rf"\s*\S+(?:[^\S{cuts}]\s*\S*)*|\s+")
-        self.lead = len(self.b.encode("a"))
-        self.known: dict[str, tuple | None] = {}
+        self.encode_a, tokens = _byte_level(a, _byte_letters())
+        self.a_table = _Tokens(tokens, "|")
+        self.b_table = _Tokens([self._b_piece(k) for k in range(self.b.get_piece_size())], ";")
 
     def _b_piece(self, k: int) -> bytes:
         piece = self.b.id_to_piece(k)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(k) else piece.replace("▁", " ").encode()
 
-    def _learn(self, pieces: list[str]) -> dict[str, tuple | None]:
-        found = {}
-        ours = self.a.encode_batch(pieces, add_special_tokens=False)
-        for piece, encoded in zip(pieces, ours):
-            # B adds a space itself; pieces that begin otherwise are encoded after a letter.
-            b = self.b.encode(piece[1:]) if piece[0] == " " and len(piece) > 1 else self.b.encode("a" + piece)[self.lead:]
-            found[piece] = self.align(piece, encoded.ids, b)
-        return found
-
-    def align(self, piece: str, a: list[int], b: list[int]) -> tuple | None:
-        """``(n_a, n_b, n_groups, n_links, groups as text, pair codes)``; None where bytes differ."""
-        left, right = [self.a_bytes[k] for k in a], [self.b_bytes[k] for k in b]
-        raw = piece.encode()
-        if b"".join(left) != raw or b"".join(right) != raw:
-            return None
-        groups, codes, i, j, at_a, at_b, first_a, first_b = [], [], 0, 0, 0, 0, 0, 0
-        size = len(self.b_bytes)
-        while i < len(a):
-            if at_a <= at_b:
-                at_a += len(left[i])
-                i += 1
-            while at_b < at_a:
-                at_b += len(right[j])
-                j += 1
-            if at_a == at_b:
-                ga, gb = a[first_a:i], b[first_b:j]
-                groups.append(f"{','.join(map(str, ga))}|{','.join(map(str, gb))}")
-                codes += [x * size + y for x in ga for y in gb]
-                first_a, first_b = i, j
-        return len(a), len(b), len(groups), len(codes), ";".join(groups), codes
-
-    def measure(self, text: str) -> tuple | None:
-        """``(n_a, n_b, n_groups, n_links, groups, sorted pair codes, times each)`` of a whole text."""
-        pieces = self.cut.findall(" " + text)
-        kinds = Counter(pieces)
-        known = self.known
-        new = [p for p in kinds if p not in known]
-        if new:
-            learnt = self._learn(new)
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list(kinds)
-                learnt |= self._learn([p for p in new if p not in learnt])
-            known.update((p, v) for p, v in learnt.items() if len(p) <= LONG)
-        else:
-            learnt = {}
-        sums, codes, times = [0, 0, 0, 0], [], []
-        names = {}
-        for piece, n in kinds.items():
-            got = known[piece] if piece in known else learnt[piece]
-            if got is None:
-                return None
-            sums[0] += n * got[0]
-            sums[1] += n * got[1]
-            sums[2] += n * got[2]
-            sums[3] += n * got[3]
-            names[piece] = got[4]
-            codes += got[5]
-            times += [n] * len(got[5])
-        pairs, place = np.unique(np.array(codes, np.int64), return_inverse=True)
-        occurs = np.bincount(place, weights=times, minlength=len(pairs)).astype(np.int64)
-        return (*sums, ";".join(map(names.__getitem__, pieces)), pairs, occurs)
+    def align(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """``(sizes, groups, distinct pairs, times each, where each text's pairs end)`` of whole texts.
+
+        ``sizes`` has ``n_a, n_b, n_groups, n_links``; all are zero, and the groups empty, for a text
+        that a tokenizer does not give back byte for byte. All texts are aligned in one go.
+        """
+        count = len(texts)
+        raw = [b" " + t.encode() for t in texts]
+        size = np.array([len(r) for r in raw])
+        sides = [_Side([self.encode_a(" " + t) for t in texts], self.a_table),
+                 _Side(self.b.encode(texts, num_threads=1), self.b_table)]
+        fits = np.logical_and(*[np.bincount(s.owner, weights=s.width, minlength=count) == size for s in sides])
+        if fits.any():
+            given = np.frombuffer(b"".join(r for r, f in zip(raw, fits) if f), np.uint8)
+            owner = np.repeat(np.flatnonzero(fits), size[fits])
+            for wrong in [owner[side.only(fits).bytes() != given] for side in sides]:
+                fits[wrong] = False
+        left, right = (s.only(fits) for s in sides)
+        common = np.intersect1d(left.end, right.end, assume_unique=True)
+        ga, gb = np.searchsorted(common, left.end), np.searchsorted(common, right.end)
+        per_group = np.bincount(gb, minlength=len(common))
+        # Every A token of a group meets the group's B tokens.
+        meets = per_group[ga]
+        first = (np.cumsum(per_group) - per_group)[ga]
+        inside = np.arange(meets.sum()) - np.repeat(np.cumsum(meets) - meets, meets)
+        kinds = len(self.a_table.data) * len(self.b_table.data)
+        codes = np.repeat(left.ids, meets) * len(self.b_table.data) + right.ids[np.repeat(first, meets) + inside]
+        keys, times = np.unique(np.repeat(left.owner, meets) * kinds + codes, return_counts=True)
+        sizes = np.stack([
+            np.bincount(left.owner, minlength=count), np.bincount(right.owner, minlength=count),
+            np.bincount(left.owner[np.flatnonzero(np.diff(ga, append=-1))], minlength=count),
+            np.bincount(left.owner, weights=meets, minlength=count).astype(np.int64)], axis=1)
+        shown, widths = _shown(left, right, ga, gb)
+        stops = np.concatenate([[0], np.cumsum(widths)])[np.cumsum(sizes[:, 0] + sizes[:, 1])]
+        starts = np.concatenate([[0], stops[:-1]])
+        groups = [shown[x:max(x, y - 1)] for x, y in zip(starts.tolist(), stops.tolist())]
+        return sizes, groups, keys % kinds, times, np.searchsorted(keys // kinds, np.arange(1, count + 1))
+
+
+class _Tokens:
+    """Bytes of all tokens, and their numbers in writing with what stands behind them."""
+
+    def __init__(self, data: list[bytes], behind: str):
+        self.data = data
+        self.width = np.array([len(d) for d in data])
+        self.start = np.cumsum(self.width) - self.width
+        self.bytes = np.frombuffer(b"".join(data), np.uint8)
+        self.more = np.array([f"{k}," for k in range(len(data))], object)
+        self.last = np.array([f"{k}{behind}" for k in range(len(data))], object)
+        self.shown = np.array([len(x) for x in self.more])
+
+
+class _Side:
+    """The tokens of many texts in a row: ids, the text of each, byte widths and ends."""
+
+    def __init__(self, encoded: list[list[int]] | None, table: _Tokens, parts: tuple | None = None):
+        self.table = table
+        if parts is None:
+            parts = (np.array(list(chain.from_iterable(encoded)), np.int64), np.repeat(np.arange(len(encoded)), [len(x) for x in encoded]))
+        self.ids, self.owner = parts
+        self.width = table.width[self.ids]
+        self.end = np.cumsum(self.width)
+
+    def only(self, kept: np.ndarray) -> "_Side":
+        here = kept[self.owner]
+        return self if here.all() else _Side(None, self.table, (self.ids[here], self.owner[here]))
+
+    def bytes(self) -> np.ndarray:
+        at = np.repeat(self.table.start[self.ids] - (self.end - self.width), self.width) + np.arange(self.width.sum())
+        return self.table.bytes[at]
+
+
+def _shown(left: _Side, right: _Side, ga: np.ndarray, gb: np.ndarray) -> tuple[str, np.ndarray]:
+    """The groups of all texts as one string, ``a1,a2|b1;`` each, and the width of each token in it."""
+    order = np.argsort(np.concatenate([2 * ga, 2 * gb + 1]), kind="stable")
+    texts, widths = [], []
+    for side, group in ((left, ga), (right, gb)):
+        last = np.diff(group, append=-1) != 0
+        texts.append(np.where(last, side.table.last[side.ids], side.table.more[side.ids]))
+        widths.append(side.table.shown[side.ids])
+    return "".join(np.concatenate(texts)[order].tolist()), np.concatenate(widths)[order]
+
+
+#: How byte-level vocabularies cut a text into words.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_level(data: bytes, letters: dict[str, int]) -> tuple[Callable[[str], list[int]], list[bytes]]:
+    """Encoder of a text, and the bytes of all tokens.
+
+    Where the ids of a plain byte-level file rise with its merges, ranks alone decide the merges and
+    a faster encoder of the same vocabulary is used.
+    """
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_str(data.decode())
+    own.encode_special_tokens = True
+    tokens = [_decoded(own.id_to_token(k), letters) for k in range(own.get_vocab_size())]
+    about = json.loads(data)
+    model, before = about["model"], about["pre_tokenizer"] or {}
+    merges = [m if isinstance(m, str) else " ".join(m) for m in model.get("merges", [])]
+    plain = (
+        model["type"] == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+        and not about["normalizer"] and not before.get("add_prefix_space")
+        and all(model["vocab"].get(m.replace(" ", "", 1)) == 256 + k for k, m in enumerate(merges))
+        and all(len(t) == 1 for t in tokens[:256]))
+    if plain:
+        import tiktoken
+
+        ranks = {tokens[k]: k for k in range(256 + len(merges))}
+        fast = tiktoken.Encoding("byte-level", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
+        return fast.encode_ordinary, tokens
+    return lambda text: own.encode(text, add_special_tokens=False).ids, tokens
 
 
 def _byte_letters() -> dict[str, int]:
@@ -146,6 +181,19 @@ def _read(path: str) -> bytes:
         return file.read()
 
 
+def _slices(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in runs of about TOGETHER characters."""
+    run, size = [], 0
+    for text in texts:
+        run.append(text)
+        size += len(text)
+        if size >= TOGETHER:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
 def align_texts(texts: DataFrame, *, a: str = A_FILE, b: str = B_FILE) -> DataFrame:
     """``texts`` (with a column ``text``, which goes) with sizes, ``groups`` as text, and the distinct
     ``pairs`` (A id times size of B, plus B id) with the ``times`` each is linked.
@@ -155,22 +203,27 @@ def align_texts(texts: DataFrame, *, a: str = A_FILE, b: str = B_FILE) -> DataFr
     """
     files = texts.sparkSession.sparkContext.broadcast((_read(a), _read(b)))
     kept = [c for c in texts.columns if c != "text"]
-    none = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
 
     def of(batches):
         own = Vocabularies(*files.value)
         for batch in batches:
-            place = batch.schema.get_field_index("text")
-            rows = [(own.measure(t) if t else None) or none for t in batch.column(place).to_pylist()]
-            ends = np.cumsum([0, *(len(r[5]) for r in rows)]).astype(np.int32)
-
-            def lists(k):
-                values = np.concatenate([r[k] for r in rows]) if rows else np.zeros(0, np.int64)
-                return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
-
+            given = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            have = np.array([k for k, t in enumerate(given) if t], np.int64)
+            sizes, groups, many = np.zeros((len(given), 4), np.int64), [""] * len(given), np.zeros(len(given), np.int64)
+            pairs, times, done = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+            for run in _slices([given[k] for k in have]):
+                at = have[done:done + len(run)]
+                done += len(run)
+                sizes[at], names, own_pairs, own_times, ends = own.align(run)
+                for k, name in zip(at.tolist(), names):
+                    groups[k] = name
+                many[at] = np.diff(ends, prepend=0)
+                pairs.append(own_pairs)
+                times.append(own_times)
+            ends = pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(4)),
-                 pa.array([r[4] for r in rows], pa.string()), lists(5), lists(6)],
+                [*(batch.column(c) for c in kept), *(pa.array(sizes[:, k]) for k in range(4)), pa.array(groups, pa.string()),
+                 *(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x))) for x in (pairs, times))],
                 names=[*kept, *_SIZES, "groups", "pairs", "times"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields if f.name != "text"]
