@@ -2,6 +2,6 @@
 
 from . import (  # noqa: F401
     alignment, decontaminate, host_rules, jaccard_join, language, licenses, line_dedup, mixing, quotes,
-    suffix_dedup, warc,
+    spelling, suffix_dedup, url_filter, warc,
 )
 from .common import ORACLES, QUERIES  # noqa: F401

@@ -79,9 +79,13 @@ def ask(groups: DataFrame, features: Callable[..., tuple[np.ndarray, np.ndarray]
         ends = np.cumsum([len(a) for a in asked])
         all_ = np.concatenate(asked)
         del asked
-        seen = np.bincount(all_, minlength=1 << 24)
-        seen += np.bincount(all_[np.concatenate(many) > 0], minlength=1 << 24)
-        counts = np.minimum(seen, 255).astype(np.uint8)[all_]
+        # Memory follows the entries; they are sorted runs already, which a stable sort merges.
+        order = np.argsort(all_, kind="stable")
+        starts = np.flatnonzero(np.diff(all_[order], prepend=-1))
+        weights = 1 + np.concatenate(many)[order]
+        seen = np.minimum(np.add.reduceat(weights, starts, dtype=np.int64), 255).astype(np.uint8) if len(all_) else weights
+        counts = np.empty(len(all_), np.uint8)
+        counts[order] = np.repeat(seen, np.diff(starts, append=len(all_)))
         return pa.table({"gid": rows["gid"], "bucket": rows["bucket"],
                          "counts": pa.array([p.tobytes() for p in np.split(counts, ends[:-1])], pa.binary())})
 

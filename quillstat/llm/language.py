@@ -1,9 +1,8 @@
 """Language ID by words first: known words score by their log frequency in each language, unseen
 words by that of their letter n-grams, from the longest known length down to single letters.
 
-The model is fitted on a bounded sample of labelled rows; counts and pruning run as Spark
-aggregates. Prediction is one pass over the texts with the model broadcast; its size is bounded by
-``words`` and ``grams`` entries a language.
+The model is fitted on a bounded sample of labelled rows, whose tokens Spark counts. Prediction is
+one pass over the texts with the model broadcast; its size is that of the sample's vocabulary.
 """
 
 import re
@@ -11,18 +10,18 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import query, table
 
 #: Labelled rows to fit on, about, for each language; drawn by a hash of id and text.
 SAMPLE_ROWS = 2000
-WORDS, GRAMS, LONGEST = 30_000, 20_000, 4
+LONGEST = 4
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
-#: Least share of a token, so that one odd word does not decide; words whose scores a task keeps.
-FLOOR, CACHE = 1e-7, 400_000
+#: Least share of a token, so that one odd word does not decide; unseen words whose scores a task keeps.
+FLOOR, CACHE = 1e-7, 300_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -53,92 +52,87 @@ def _tokens(longest: int):
 
 
 class LanguageModel:
-    """Log frequencies of words and n-grams by language, less their mean over languages."""
+    """Log frequencies of words and n-grams by language, less their mean over languages.
 
-    def __init__(self, langs: list[str], tables: list[dict[str, np.ndarray]]):
-        self.langs, self.tables = langs, tables
+    ``places`` has for each length (0: whole words) the row of a token in ``weights``, a matrix with
+    a column for each language; the rows of words come first.
+    """
+
+    def __init__(self, langs: list[str], places: list[dict[str, int]], weights: np.ndarray):
+        self.langs, self.places, self.weights = langs, places, weights
 
     def weigh(self, word: str) -> np.ndarray:
         """Score of one word for each language."""
-        known = self.tables[0].get(word)
+        known = self.places[0].get(word)
         if known is not None:
-            return known
-        padded, total, used = f" {word} ", np.zeros(len(self.langs)), 0
-        k = 0
-        while k < len(padded):
-            for size in range(min(len(self.tables) - 1, len(padded) - k), 0, -1):
-                found = self.tables[size].get(padded[k:k + size])
+            return self.weights[known]
+        padded, rows = f" {word} ", []
+        for k in range(len(padded)):
+            for size in range(min(len(self.places) - 1, len(padded) - k), 0, -1):
+                found = self.places[size].get(padded[k:k + size])
                 if found is not None:
-                    total, used = total + found, used + 1
+                    rows.append(found)
                     break
-            k += 1
-        return total / max(1, used)
+        return self.weights[rows].mean(axis=0) if rows else np.zeros(len(self.langs))
 
     def predict(self, texts):
         """``(language, score)`` of each text; the score is the posterior of the best language."""
-        cache: dict[str, int] = {}
-        rows: list[np.ndarray] = []
-        matrix = np.zeros((0, len(self.langs)))
+        known = len(self.places[0]) if self.places else 0
+        rows = number = matrix = None
         for text in texts:
             found = _WORD.findall(text.lower()) if text else []
             if not self.langs or not (any(map(str.isalpha, found)) or any(c.isalpha() for w in found for c in w)):
                 yield UNKNOWN, 0.0
                 continue
-            if len(cache) > CACHE:
-                cache, rows, matrix = {}, [], np.zeros((0, len(self.langs)))
+            if rows is None or number > known + CACHE:
+                # Known words have their row already; scores of unseen ones are added behind them.
+                rows, number, matrix = dict(self.places[0]), known, self.weights[:known]
             try:
-                at = [cache[w] for w in found]
+                at = [rows[w] for w in found]
             except KeyError:
-                for word in found:
-                    if word not in cache:
-                        cache[word] = len(rows)
-                        rows.append(self.weigh(word))
-                at = [cache[w] for w in found]
-            if len(matrix) < len(rows):
-                if len(rows) > 1.2 * len(matrix) + 4096:
-                    matrix = np.array(rows)
-                    total = matrix[at].sum(axis=0)
-                else:
-                    low = np.array(at)
-                    old = low < len(matrix)
-                    total = matrix[low[old]].sum(axis=0) + sum(rows[k] for k in low[~old].tolist())
-            else:
-                total = matrix[at].sum(axis=0)
+                unseen = [w for w in dict.fromkeys(found) if w not in rows]
+                if number + len(unseen) > len(matrix):
+                    room = np.empty((number + len(unseen) + len(matrix) // 4 + 1024, len(self.langs)))
+                    room[:number] = matrix[:number]
+                    matrix = room
+                for word in unseen:
+                    matrix[number] = self.weigh(word)
+                    rows[word] = number
+                    number += 1
+                at = [rows[w] for w in found]
+            total = matrix[at].sum(axis=0)
             best = int(np.argmax(total))
             yield self.langs[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def fit(labelled: DataFrame, *, draw: Column | None = None, sample_rows: int = SAMPLE_ROWS, words: int = WORDS, grams: int = GRAMS,
+def fit(labelled: DataFrame, *, draw: Column | None = None, sample_rows: int = SAMPLE_ROWS,
         longest: int = LONGEST) -> LanguageModel:
-    """Fit on (text, lang) of about ``sample_rows`` rows a language, all of fewer.
+    """Fit on (text, lang) of about ``sample_rows`` rows a language, all of fewer; every word and
+    n-gram of the sample is kept, so the sample bounds the model.
 
     ``draw`` is a hash that decides which rows; give one that tells copies apart (default: of the text).
     Rows without text or language are left out. No labelled row gives a model without languages,
-    which calls every text unknown. Ties in pruning go by the token.
+    which calls every text unknown.
     """
     rows = labelled.filter("lang is not null and text is not null").select(
         "lang", "text", (F.xxhash64("text") if draw is None else draw).alias("draw"))
     totals = {r.lang: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not totals:
-        return LanguageModel([], [])
+        return LanguageModel([], [], np.zeros((0, 0)))
     share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, sample_rows / n))) for k, n in totals.items()])
     sample = rows.filter(F.pmod("draw", F.lit(1 << 20)) < share * (1 << 20))
     counts = sample.select("lang", "text").mapInArrow(_tokens(longest), "lang string, size int, token string, n long").groupBy(
-        "lang", "size", "token").agg(F.sum("n").alias("n"))
-    sums = {(r.lang, r["size"]): (r.total, r.kinds) for r in counts.groupBy("lang", "size").agg(
-        F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).collect()}
-    rank = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "token"))
-    kept = counts.withColumn("r", rank).filter(F.col("r") <= F.when(F.col("size") == 0, words).otherwise(grams))
+        "lang", "size", "token").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     langs = sorted(totals)
-    tables: list[dict[str, np.ndarray]] = [{} for _ in range(longest + 1)]
-    for r in kept.select("lang", "size", "token", "n").collect():
-        at = tables[r["size"]].setdefault(r.token, np.zeros(len(langs)))
-        at[langs.index(r.lang)] = r["n"] / sums[r.lang, r["size"]][0]
-    for entries in tables:
-        for token, shares in entries.items():
-            logs = np.log(np.maximum(shares, FLOOR))
-            entries[token] = logs - logs.mean()
-    return LanguageModel(langs, tables)
+    counts["share"] = counts["n"] / counts.groupby(["lang", "size"])["n"].transform("sum")
+    kinds = counts[["size", "token"]].drop_duplicates().sort_values(["size", "token"], ignore_index=True)
+    places = [dict(zip(part["token"], part.index)) for _, part in (
+        (k, kinds[kinds["size"] == k]) for k in range(longest + 1))]
+    weights = np.full((len(kinds), len(langs)), FLOOR)
+    at = [places[size][token] for size, token in zip(counts["size"], counts["token"])]
+    weights[at, counts["lang"].map(langs.index)] = np.maximum(counts["share"], FLOOR)
+    weights = np.log(weights)
+    return LanguageModel(langs, places, weights - weights.mean(axis=1, keepdims=True))
 
 
 def identify(docs: DataFrame, model: LanguageModel, *, text: str = "text", lang: str = "lang_pred",

@@ -54,6 +54,58 @@ def test_leaks(spark, messy, nothing, monkeypatch):
         decontaminate.find_leaks(messy, items, spans="gid")
 
 
+def spoken(texts, labelled):
+    """Scores of whole texts with plain dictionaries, one word after the other."""
+    shares, langs = {}, sorted({lang for lang, _ in labelled})
+    for lang, text in labelled:
+        for word in re.findall(r"[^\W\d_]+", text.lower()):
+            padded = f" {word} "
+            for token in [(0, word), *((n, padded[k:k + n]) for n in range(1, 5) for k in range(len(padded) - n + 1))]:
+                shares.setdefault(token, Counter())[lang] += 1
+    totals = Counter()
+    for (size, _), own in shares.items():
+        for lang, n in own.items():
+            totals[lang, size] += n
+    logs = {}
+    for (size, token), own in shares.items():
+        row = [math.log(max(language.FLOOR, own[lang] / totals[lang, size] if totals[lang, size] else 0)) for lang in langs]
+        logs[size, token] = [x - sum(row) / len(row) for x in row]
+    for text in texts:
+        found = re.findall(r"[^\W\d_]+", (text or "").lower())
+        if not any(c.isalpha() for w in found for c in w):
+            yield language.UNKNOWN, 0.0
+            continue
+        total = [0.0] * len(langs)
+        for word in found:
+            rows = [logs[0, word]] if (0, word) in logs else []
+            if not rows:
+                padded = f" {word} "
+                for k in range(len(padded)):
+                    fits = [logs[n, padded[k:k + n]] for n in (4, 3, 2, 1) if (n, padded[k:k + n]) in logs and k + n <= len(padded)]
+                    rows += fits[:1]
+            for k in range(len(langs)):
+                total[k] += sum(r[k] for r in rows) / max(1, len(rows))
+        best = max(range(len(langs)), key=lambda k: (round(total[k], 9), -k))
+        yield langs[best], 1 / sum(math.exp(x - total[best]) for x in total)
+
+
+def test_language_against_a_plain_scorer(spark, messy, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    seen = docs.filter(~language.held_out(F.col("doc_id")) & F.col("text").isNotNull() & F.col("lang").isNotNull())
+    labelled = [(r.lang, r.text) for r in seen.collect()]
+    # A word of the last rank is known too: no count cuts the sample's vocabulary.
+    rare = " ".join("q" + "".join(chr(97 + (k // 26 ** d) % 26) for d in range(4)) for k in range(40_000))
+    model = language.fit(spark.createDataFrame([*labelled, ("fr", rare)], "lang string, text string"))
+    assert all(w in model.places[0] for w in rare.split())
+    texts = [r.text for r in docs.union(docs.limit(3)).collect()] + [r.text for r in messy.collect()] + [rare[:60], "ﬀ Ωmega", "x" * 3000]
+    want = list(spoken(texts, [*labelled, ("fr", rare)]))
+    for room in (language.CACHE, 5):
+        monkeypatch.setattr(language, "CACHE", room)
+        got = list(model.predict(texts))
+        assert [lang for lang, _ in got] == [lang for lang, _ in want]
+        assert [score for _, score in got] == pytest.approx([score for _, score in want], abs=1e-6)
+
+
 def test_language(spark, messy, nothing):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = language.fit(docs.filter(~language.held_out(F.col("doc_id"))).select("lang", "text"))
