@@ -15,6 +15,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +24,8 @@ from .common import query, table, written
 A_FILE, B_FILE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: Both vocabularies are broadcast; larger files are refused.
 VOCABULARY_BYTES = 64 << 20
-#: Characters of text that are aligned in one go; a longer text is one alone.
-TOGETHER = 1 << 20
+#: Bytes of text that are aligned in one go, about; a longer text is one alone.
+TOGETHER = 1 << 18
 #: Distinct texts in one file of alignments, the unit that asks for totals.
 FILE_TEXTS = 50_000
 _SIZES = ["n_a", "n_b", "n_groups", "n_links"]
@@ -181,17 +182,12 @@ def _read(path: str) -> bytes:
         return file.read()
 
 
-def _slices(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in runs of about TOGETHER characters."""
-    run, size = [], 0
-    for text in texts:
-        run.append(text)
-        size += len(text)
-        if size >= TOGETHER:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs of about TOGETHER bytes of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    run = (np.cumsum(sizes) - sizes) // TOGETHER
+    borders = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    yield from (batch.slice(x, y - x) for x, y in zip(borders, borders[1:]) if y > x)
 
 
 def align_texts(texts: DataFrame, *, a: str = A_FILE, b: str = B_FILE) -> DataFrame:
@@ -206,24 +202,20 @@ def align_texts(texts: DataFrame, *, a: str = A_FILE, b: str = B_FILE) -> DataFr
 
     def of(batches):
         own = Vocabularies(*files.value)
-        for batch in batches:
-            given = batch.column(batch.schema.get_field_index("text")).to_pylist()
+        for batch in chain.from_iterable(map(_slices, batches)):
+            given = batch.column("text").to_pylist()
             have = np.array([k for k, t in enumerate(given) if t], np.int64)
             sizes, groups, many = np.zeros((len(given), 4), np.int64), [""] * len(given), np.zeros(len(given), np.int64)
-            pairs, times, done = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
-            for run in _slices([given[k] for k in have]):
-                at = have[done:done + len(run)]
-                done += len(run)
-                sizes[at], names, own_pairs, own_times, ends = own.align(run)
-                for k, name in zip(at.tolist(), names):
+            pairs = times = np.zeros(0, np.int64)
+            if len(have):
+                sizes[have], names, pairs, times, ends = own.align([given[k] for k in have])
+                many[have] = np.diff(ends, prepend=0)
+                for k, name in zip(have.tolist(), names):
                     groups[k] = name
-                many[at] = np.diff(ends, prepend=0)
-                pairs.append(own_pairs)
-                times.append(own_times)
             ends = pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), *(pa.array(sizes[:, k]) for k in range(4)), pa.array(groups, pa.string()),
-                 *(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x))) for x in (pairs, times))],
+                 *(pa.ListArray.from_arrays(ends, pa.array(x)) for x in (pairs, times))],
                 names=[*kept, *_SIZES, "groups", "pairs", "times"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields if f.name != "text"]
