@@ -1,5 +1,6 @@
 """Clustering queries: documents of class 1 by style, and embeddings by centroid."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import CLUSTER_FEATURES
@@ -170,6 +171,45 @@ def kmeans_sweep(t: Tables):
     return cluster.kmeans_sweep(class_points(t))
 
 
+# What must hold of any fit, whatever its seeds; SQL knows what the fit must come to.
+_FIT_FACTS = f"WITH {PTS}"
+
+
+@query("kmeans_fit_facts", f"""{_FIT_FACTS} SELECT 5 AS clusters, (SELECT count(*) FROM pts) AS points, 0 AS empty, 0 AS not_nearest,
+    0 AS off_their_mean, true AS cost_below_one_cluster""")
+def kmeans_fit_facts(t: Tables):
+    """Points that a nearer centroid would take, and centroids that are not the mean of their points: none."""
+    points = cut_lineage(class_points(t))
+    centroids = cut_lineage(cluster.kmeans_fit(points))
+    assigned = cut_lineage(cluster.nearest_centroid(points, centroids))
+    pairs = assigned.withColumn("_all", centroids.agg(F.collect_list("vec")).scalar())
+    nearer = F.exists("_all", lambda c: cluster.squared_distance(F.col("vec"), c) < F.col("d2") - 1e-12)
+    cells = assigned.select("cluster", F.posexplode("vec").alias("i", "x"))
+    means = cells.groupBy("cluster", "i").agg(F.avg("x").alias("m"))
+    own = centroids.select("cluster", F.posexplode("vec").alias("i", "c"))
+    off = own.join(means, ["cluster", "i"]).where(F.abs(F.col("c") - F.col("m")) > 1e-5)
+    one = points.select(F.posexplode("vec").alias("i", "x")).groupBy("i").agg((F.var_pop("x") * F.count("x")).alias("v"))
+    return pairs.agg(
+        F.count_distinct("cluster").cast("int").alias("clusters"), F.count(F.lit(1)).alias("points"),
+        F.count_if(nearer).cast("int").alias("not_nearest"), F.sum("d2").alias("cost")).select(
+        "clusters", "points", (5 - F.col("clusters")).alias("empty"), "not_nearest",
+        off.agg(F.count(F.lit(1)).cast("int")).scalar().alias("off_their_mean"),
+        (F.col("cost") < one.agg(F.sum("v")).scalar()).alias("cost_below_one_cluster"))
+
+
+@query("kmeans_sweep_facts", f"""{_FIT_FACTS} SELECT unnest(range(2, 11))::INT AS k, true AS cost_falls,
+    true AS cost_below_one_cluster, true AS score_in_range""")
+def kmeans_sweep_facts(t: Tables):
+    """More clusters cost less; silhouettes stay between -1 and 1."""
+    points = cut_lineage(class_points(t))
+    one = points.select(F.posexplode("vec").alias("i", "x")).groupBy("i").agg((F.var_pop("x") * F.count("x")).alias("v"))
+    before = F.lag("inertia").over(Window.orderBy("k"))  # nine rows
+    return cluster.kmeans_sweep(points).select(
+        "k", F.coalesce(F.col("inertia") < before, F.lit(True)).alias("cost_falls"),
+        (F.col("inertia") < one.agg(F.sum("v")).scalar()).alias("cost_below_one_cluster"),
+        F.col("silhouette").between(-1, 1).alias("score_in_range"))
+
+
 _NOISE = """count(DISTINCT cluster) FILTER (cluster <> -1) AS clusters, count(*) FILTER (cluster = -1) AS noise,
     count(*) AS points, count(*) FILTER (cluster = -1) / count(*) AS noise_share"""
 

@@ -119,13 +119,18 @@ def _sql_quota(source: str, size: str, share: str, out: str) -> str:
       SELECT *, ceil(round(sum({size}) OVER () * {share}::DOUBLE, 6)) AS w FROM {source}))))"""
 
 
-@query("split_exact", f"""WITH d AS (SELECT doc_id, quality AS label, {q.hash_key('doc_id')} AS k FROM documents JOIN labels USING (doc_id)),
+def sql_exact_split(documents: str) -> str:
+    """``doc_id, label, split`` of ``documents (doc_id, label)``."""
+    return f"""WITH d AS (SELECT doc_id, label, {q.hash_key('doc_id')} AS k FROM {documents}),
   sizes AS (SELECT label, count(*) AS n FROM d GROUP BY label),
   t AS (SELECT *, n - n_test AS rest FROM {_sql_quota('sizes', 'n', '0.15', 'n_test')}),
   v AS (SELECT * FROM {_sql_quota('t', 'rest', '(0.15::DOUBLE / 0.85::DOUBLE)', 'n_validation')})
   SELECT doc_id, d.label, CASE WHEN row_number() OVER (PARTITION BY d.label ORDER BY k, doc_id) <= n_test THEN 'test'
     WHEN row_number() OVER (PARTITION BY d.label ORDER BY k, doc_id) <= n_test + n_validation THEN 'validation'
-    ELSE 'train' END AS split FROM d JOIN v ON d.label = v.label""")
+    ELSE 'train' END AS split FROM d JOIN v ON d.label = v.label"""
+
+
+@query("split_exact", sql_exact_split("(SELECT doc_id, quality AS label FROM documents JOIN labels USING (doc_id))"))
 def split_exact(t: Tables):
     return split.exact_split(t.labelled()).select("doc_id", "label", "split")
 

@@ -1,31 +1,34 @@
 """Clustering of one class by writing style.
 
-Points are rows ``pid BIGINT, vec ARRAY<DOUBLE>``. Range searches cut space into cells of
-width eps, copy a point to the cells it can reach and cut each cell into tiles of bounded
-size; a tile reports counts, nearest distances or a spanning forest, never pairs.
+Points are rows ``pid BIGINT, vec ARRAY<DOUBLE>``. Density clustering and its range searches are
+in ``density``.
 """
 
-from functools import partial
-from itertools import product
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import CLUSTER_FEATURES
-from ..functions.state import cut_lineage, spread_by
-from ..session import side_by_side
-from .running import dense_index
+from ..functions.state import cut_lineage
+from .density import (  # noqa: F401
+    core_flags, connected_components, dbscan, eps_sweep, k_distance, neighbour_counts, noise_summary,
+)
+from .range_tree import distances2
 from .scaling import standardise
 from .split import sample_rows
 
-# Rows of each side of a tile; a distance block is then at most 32 MB.
-TILE = 2048
+# Rows of a block of silhouette points; a distance matrix is then at most 32 MB.
+BLOCK = 2048
+
+
+def _distances2(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
+    return distances2(np.stack(a["vec"].to_numpy()), np.stack(b["vec"].to_numpy()))
 
 
 def class_points(df: DataFrame, *, id_col: str, features=CLUSTER_FEATURES, label: int | None = 1,
@@ -40,22 +43,102 @@ def class_points(df: DataFrame, *, id_col: str, features=CLUSTER_FEATURES, label
 
 # ---- K-means ------------------------------------------------------------------
 
-def kmeans_fit(points: DataFrame, *, k: int = 5, starts: int = 10, seed: int = 42) -> KMeansModel:
-    """Best of several seeded starts by training cost; the vectors are cached once."""
-    vectors = points.select(array_to_vector("vec").alias("features")).persist()
-    try:
-        models = side_by_side([
-            partial(KMeans(k=k, seed=seed + start, maxIter=300, tol=1e-4).fit, vectors)
-            for start in range(starts)
-        ])
-        return min(models, key=lambda m: m.summary.trainingCost)
-    finally:
-        vectors.unpersist()
+class Run(NamedTuple):
+    """One start of k-means: its centroids, their cost, and the passes it took."""
+
+    k: int
+    start: int
+    centroids: np.ndarray
+    cost: float
+    passes: int
+
+
+def _seeds(rows: np.ndarray, k: int, draw: np.random.Generator) -> np.ndarray:
+    """k different rows, each drawn in proportion to its squared distance from those before."""
+    chosen = [rows[draw.integers(len(rows))]]
+    nearest = np.full(len(rows), np.inf)
+    while len(chosen) < k:
+        nearest = np.minimum(nearest, ((rows - chosen[-1]) ** 2).sum(axis=1))
+        total = nearest.sum()
+        if total == 0:
+            raise ValueError(f"{k} clusters wanted of {len(chosen)} different points in the sample of seeds")
+        chosen.append(rows[draw.choice(len(rows), p=nearest / total)])
+    return np.array(chosen)
+
+
+def lloyd(points: DataFrame, *, ks, starts: int = 10, seed: int = 42, passes: int = 300,
+          tolerance: float = 1e-12, seed_rows: int = 5_000) -> list[Run]:
+    """All k and all starts at once: each pass over the points moves the centroids of every run.
+
+    ``points`` must be materialised. Tasks add up their points by run and centroid, one aggregate
+    combines them, and only the sums (runs x clusters x numbers) reach the driver. A run ends at
+    its fixed point, when no centroid moves by more than ``tolerance`` squared; the others go on.
+    Seeds come from a sample of ``seed_rows`` points. An empty cluster keeps its centroid.
+    """
+    sample = sample_rows(points, n=seed_rows, keys=["pid"], seed=seed).orderBy("pid").select("vec").toArrow()["vec"].to_pylist()
+    if not sample:
+        return []
+    rows = np.array(sample, float)
+    size = rows.shape[1]
+    now = {(k, s): _seeds(rows, k, np.random.default_rng([seed, k, s])) for k in ks for s in range(starts)}
+    done: list[Run] = []
+    for number in range(1, passes + 1):
+        runs = sorted(now)
+        state = [(k, s, now[k, s]) for k, s in runs]
+
+        def sums(batches, state=state):
+            total = [np.zeros((k, size + 2)) for k, _, _ in state]
+            for batch in batches:
+                x = np.asarray(batch.column("vec").flatten(), float).reshape(-1, size)
+                for add, (k, _, centroids) in zip(total, state):
+                    d2 = distances2(x, centroids)
+                    nearest = d2.argmin(axis=1)
+                    np.add.at(add[:, :size], nearest, x)
+                    add[:, size] += np.bincount(nearest, minlength=k)
+                    add[:, size + 1] += np.bincount(nearest, weights=d2.min(axis=1), minlength=k)
+            run = np.concatenate([np.full(t.size, n, np.int32) for n, t in enumerate(total)])
+            place = np.concatenate([np.arange(t.size, dtype=np.int32) for t in total])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(run), pa.array(place), pa.array(np.concatenate([t.ravel() for t in total]))], names=["run", "place", "x"])
+
+        found = points.select("vec").mapInArrow(sums, "run int, place int, x double").groupBy("run", "place").agg(
+            F.sum("x").alias("x")).toArrow()
+        order = np.lexsort((np.asarray(found["place"]), np.asarray(found["run"])))
+        values = np.asarray(found["x"])[order]
+        at = 0
+        for k, s, centroids in state:
+            table = values[at:at + k * (size + 2)].reshape(k, size + 2)
+            at += k * (size + 2)
+            n = table[:, size:size + 1]
+            moved = np.where(n > 0, table[:, :size] / np.maximum(n, 1), centroids)
+            if ((moved - centroids) ** 2).sum(axis=1).max() <= tolerance or number == passes:
+                done.append(Run(k, s, centroids, float(table[:, size + 1].sum()), number))
+                del now[k, s]
+            else:
+                now[k, s] = moved
+        if not now:
+            break
+    return done
 
 
-def kmeans_assign(points: DataFrame, model: KMeansModel) -> DataFrame:
-    vectors = points.withColumn("_features", array_to_vector("vec"))
-    return model.setFeaturesCol("_features").setPredictionCol("cluster").transform(vectors).drop("_features")
+def _best(runs: list[Run], k: int) -> Run:
+    return min((r for r in runs if r.k == k), key=lambda r: (r.cost, r.start))
+
+
+def centroid_table(spark: SparkSession, run: Run) -> DataFrame:
+    """``cluster, vec`` of a run, numbered in the order of the vectors."""
+    rows = sorted(run.centroids.tolist())
+    return spark.createDataFrame(list(enumerate(rows)), "cluster int, vec array<double>")
+
+
+def kmeans_fit(points: DataFrame, *, k: int = 5, starts: int = 10, seed: int = 42) -> DataFrame:
+    """``cluster, vec``: the centroids of the best of several seeded starts by cost."""
+    points = cut_lineage(points.select("pid", "vec"))
+    return centroid_table(points.sparkSession, _best(lloyd(points, ks=(k,), starts=starts, seed=seed), k))
+
+
+def kmeans_assign(points: DataFrame, centroids: DataFrame) -> DataFrame:
+    return nearest_centroid(points, centroids).drop("d2")
 
 
 def squared_distance(a, b):
@@ -81,20 +164,21 @@ def cluster_sizes(assigned: DataFrame) -> DataFrame:
     return assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def kmeans_sweep(points: DataFrame, *, ks=range(2, 11), seed: int = 42) -> DataFrame:
-    """``k, inertia, silhouette`` (squared Euclidean) over a range of k."""
-    vectors = points.select(array_to_vector("vec").alias("features")).persist()
-    try:
-        def fit(k: int) -> tuple[int, float, float]:
-            model = KMeans(k=k, seed=seed).fit(vectors)
-            score = ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(
-                model.transform(vectors))
-            return k, float(model.summary.trainingCost), float(score)
-
-        rows = side_by_side([partial(fit, k) for k in ks])
-    finally:
-        vectors.unpersist()
-    return points.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+def kmeans_sweep(points: DataFrame, *, ks=range(2, 11), starts: int = 10, seed: int = 42,
+                 sample: int = 20_000) -> DataFrame:
+    """``k, inertia, silhouette`` over a range of k: the best start by cost, and the mean Euclidean
+    silhouette over a seeded sample, all k from one pass over its pairs of blocks."""
+    points = cut_lineage(points.select("pid", "vec"))
+    runs = lloyd(points, ks=ks, starts=starts, seed=seed)
+    spark = points.sparkSession
+    chosen = sample_rows(points, n=sample, keys=["pid"], seed=seed)
+    for k in ks:
+        chosen = nearest_centroid(chosen.withColumnRenamed("cluster", f"c{k}") if "cluster" in chosen.columns else chosen,
+                                  centroid_table(spark, _best(runs, k))).drop("d2").withColumnRenamed("cluster", f"c{k}")
+    scores = _silhouettes(cut_lineage(chosen.select("pid", "vec", F.array(*[f"c{k}" for k in ks]).alias("labels"))), len(ks))
+    costs = spark.createDataFrame([(n, k, _best(runs, k).cost) for n, k in enumerate(ks)], "way int, k int, inertia double")
+    means = scores.groupBy("way").agg(F.avg("silhouette").alias("silhouette"))
+    return costs.join(means, "way").select("k", "inertia", "silhouette")
 
 
 def cluster_profile(assigned: DataFrame, overall: DataFrame, *, features=CLUSTER_FEATURES,
@@ -119,299 +203,57 @@ def cluster_profile(assigned: DataFrame, overall: DataFrame, *, features=CLUSTER
     return ranked.where((F.col("more_rank") <= top) | (F.col("less_rank") <= top))
 
 
-# ---- Range searches -------------------------------------------------------------
-
-def collapse_copies(points: DataFrame) -> DataFrame:
-    """One row per distinct vector: smallest pid and number of copies."""
-    return points.groupBy("vec").agg(F.min("pid").alias("pid"), F.count(F.lit(1)).alias("weight"))
-
-
-def grid_dimensions(points: DataFrame, eps: float, *, most: int = 3) -> list[int]:
-    """The dimensions whose eps-wide slices separate the points best (one number each)."""
-    size = points.select(F.size("vec").alias("d")).first()
-    if size is None:
-        return [0]
-    d = size["d"]
-    slices = points.agg(*[
-        F.approx_count_distinct(F.floor(F.col("vec")[i] / eps)).alias(str(i)) for i in range(d)
-    ]).first()
-    ordered = sorted(range(d), key=lambda i: (-slices[str(i)], i))
-    return ordered[:most]
-
-
-def _cells(df: DataFrame, eps: float, dims: list[int]) -> DataFrame:
-    return df.withColumn("_cell", F.array(*[F.floor(F.col("vec")[i] / eps) for i in dims]))
-
-
-def _tiles(home: DataFrame, others: DataFrame, eps: float, dims: list[int], tile: int):
-    """Rows of both sides keyed by ``_cell, _i, _j``; a tile has about ``tile`` of each."""
-    placed = _cells(home, eps, dims)
-    moves = F.array(*[F.array(*[F.lit(m) for m in step]) for step in product((-1, 0, 1), repeat=len(dims))])
-    reach = _cells(others, eps, dims).withColumn("_step", F.explode(moves))
-    gap = F.lit(0.0)
-    for at, dim in enumerate(dims):
-        x, low = F.col("vec")[dim], F.col("_cell")[at] * eps
-        apart = F.when(F.col("_step")[at] > 0, low + eps - x).when(F.col("_step")[at] < 0, x - low).otherwise(0.0)
-        gap = gap + apart * apart
-    # A little slack keeps rounding in the cell borders from losing a pair.
-    reach = reach.where(gap <= eps * eps * (1 + 1e-9)).withColumn(
-        "_cell", F.zip_with("_cell", "_step", lambda c, s: c + s)).drop("_step")
-    home_sizes = placed.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / tile).alias("_nh"))
-    other_sizes = reach.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / tile).alias("_nc"))
-    sizes = home_sizes.join(other_sizes, "_cell")
-
-    def spread(side: DataFrame, mine: str, theirs: str, own: str, other: str) -> DataFrame:
-        return (
-            side.join(sizes, "_cell")
-            .withColumn(own, F.pmod(F.xxhash64("pid"), F.col(mine)))
-            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(theirs) - 1)))
-            .drop("_nh", "_nc")
-        )
-
-    return spread(placed, "_nh", "_nc", "_i", "_j"), spread(reach, "_nc", "_nh", "_j", "_i")
-
-
-def _distances2(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
-    left, right = np.stack(a["vec"].to_numpy()), np.stack(b["vec"].to_numpy())
-    total = np.zeros((len(left), len(right)))
-    for k in range(left.shape[1]):
-        step = left[:, k, None] - right[None, :, k]
-        total += step * step
-    return total
-
-
-def _over_tiles(home: DataFrame, others: DataFrame, eps: float, dims, tile: int, kernel, schema: str):
-    """Run ``kernel(home, others, squared distances)`` on every tile."""
-    keys = ["_cell", "_i", "_j"]
-    names = [f.split()[0] for f in schema.split(", ")]
-
-    def on_tile(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame({n: [] for n in names})
-        return kernel(a, b, _distances2(a, b))
-
-    # Both sides may come from one table: fresh column names keep them apart.
-    left, right = _tiles(home.toDF(*home.columns), others.toDF(*others.columns), eps, dims, tile)
-    left, right = spread_by(left, *keys), spread_by(right, *keys)
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(on_tile, schema)
-
-
-def neighbour_counts(points: DataFrame, *, eps: float, dims: list[int] | None = None,
-                     tile: int = TILE) -> DataFrame:
-    """``pid, neighbours``: points within eps, the point itself and its copies included.
-
-    The points are materialised first, because both sides of every tile read them.
-    """
-    points = cut_lineage(points.select("pid", "vec"))
-    distinct = collapse_copies(points)
-    counted = _distinct_counts(distinct, eps, dims or grid_dimensions(points, eps), tile)
-    return (
-        points.join(distinct.select("vec", F.col("pid").alias("_rep")), "vec")
-        .join(counted.withColumnRenamed("pid", "_rep"), "_rep").select("pid", "neighbours")
-    )
-
-
-def _distinct_counts(distinct: DataFrame, eps: float, dims, tile: int) -> DataFrame:
-    limit = eps * eps
-
-    def kernel(a, b, d2):
-        hits = (d2 <= limit) @ b["weight"].to_numpy()
-        return pd.DataFrame({"pid": a["pid"], "hits": hits.astype("int64")})
-
-    partial = _over_tiles(distinct, distinct, eps, dims, tile, kernel, "pid long, hits long")
-    return partial.groupBy("pid").agg(F.sum("hits").alias("neighbours"))
-
-
-def core_flags(points: DataFrame, *, eps: float = 1.0, min_samples: int = 16, **where) -> DataFrame:
-    return neighbour_counts(points, eps=eps, **where).withColumn(
-        "is_core", F.col("neighbours") >= min_samples)
-
-
-def _forest(a: pd.DataFrame, b: pd.DataFrame, near: np.ndarray) -> pd.DataFrame:
-    """Smallest pid each point is linked to inside one tile."""
-    top, side = a["pid"].to_numpy().copy(), b["pid"].to_numpy().copy()
-    far = np.iinfo("int64").max
-    while True:
-        new_side = np.minimum(side, np.where(near, top[:, None], far).min(axis=0))
-        new_top = np.minimum(top, np.where(near, new_side[None, :], far).min(axis=1))
-        if (new_top == top).all() and (new_side == side).all():
-            break
-        top, side = new_top, new_side
-    linked = pd.DataFrame({
-        "src": np.concatenate([a["pid"], b["pid"]]), "dst": np.concatenate([top, side])})
-    return linked[linked["src"] != linked["dst"]].drop_duplicates()
-
-
-def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``pid, component`` (the smallest pid): min-label exchange with pointer jumping.
-
-    Labels only ever shrink and minima are taken map-side. Every round is checkpointed, so
-    a lost executor repeats one round at most.
-    """
-    both = cut_lineage(
-        edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        .distinct()
-    )
-    labels = cut_lineage(nodes.select("pid", F.col("pid").alias("component")))
-    while True:  # labels only shrink, so this ends when none moves
-        seen = both.join(labels.select(F.col("pid").alias("dst"), "component"), "dst").select(
-            F.col("src").alias("pid"), "component")
-        lowered = labels.unionByName(seen).groupBy("pid").agg(F.min("component").alias("component"))
-        parents = lowered.select(F.col("pid").alias("component"), F.col("component").alias("_up"))
-        jumped = lowered.join(parents, "component").select("pid", F.col("_up").alias("component"))
-        new = cut_lineage(jumped)
-        moved = new.join(labels, ["pid", "component"], "left_anti").isEmpty()
-        labels = new
-        if moved:
-            return labels
-
-
-def dbscan(points: DataFrame, *, eps: float = 1.0, min_samples: int = 16,
-           dims: list[int] | None = None, tile: int = TILE) -> DataFrame:
-    """``pid, cluster, is_core`` by exact density clustering; noise is -1.
-
-    Clusters are numbered by their smallest core point and a border point joins the lowest
-    cluster it touches, as when points are visited in pid order.
-    """
-    points = cut_lineage(points.select("pid", "vec"))
-    dims = dims or grid_dimensions(points, eps)
-    limit = eps * eps
-    distinct = cut_lineage(collapse_copies(points))
-    counts = _distinct_counts(distinct, eps, dims, tile)
-    flagged = cut_lineage(distinct.join(counts, "pid").withColumn(
-        "is_core", F.col("neighbours") >= min_samples))
-    core = flagged.where("is_core").select("pid", "vec")
-    links = _over_tiles(core, core, eps, dims, tile,
-                        lambda a, b, d2: _forest(a, b, d2 <= limit), "src long, dst long")
-    components = connected_components(core, links)
-
-    def lowest(a, b, d2):
-        far = np.iinfo("int64").max
-        reached = np.where(d2 <= limit, b["component"].to_numpy()[None, :], far).min(axis=1)
-        found = pd.DataFrame({"pid": a["pid"], "component": reached})
-        return found[found["component"] != far]
-
-    border = _over_tiles(
-        flagged.where("not is_core").select("pid", "vec"),
-        core.join(components, "pid"), eps, dims, tile, lowest, "pid long, component long",
-    ).groupBy("pid").agg(F.min("component").alias("component"))
-    numbers = dense_index(
-        components.select("component").distinct(), order=["component"], out="cluster")
-    named = components.unionByName(border).join(numbers, "component").select("pid", "cluster")
-    by_vector = flagged.join(named, "pid", "left").select(
-        "vec", "is_core", F.coalesce("cluster", F.lit(-1)).cast("int").alias("cluster"))
-    return points.join(by_vector, "vec").select("pid", "cluster", "is_core")
-
-
-def noise_summary(clustered: DataFrame) -> DataFrame:
-    """One row: clusters found, noise points and their share."""
-    return clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).agg(
-        F.count_if(F.col("cluster") != -1).alias("clusters"),
-        F.coalesce(F.sum(F.when(F.col("cluster") == -1, F.col("n"))), F.lit(0)).alias("noise"),
-        F.sum("n").alias("points"),
-    ).withColumn("noise_share", F.try_divide("noise", "points"))
-
-
-def eps_sweep(points: DataFrame, *, eps_values=(0.5, 0.8, 1.0, 1.3), min_samples: int = 16) -> DataFrame:
-    """Clusters and noise share for each eps."""
-    points = cut_lineage(points.select("pid", "vec"))
-    result = None
-    for eps in eps_values:
-        row = noise_summary(dbscan(points, eps=eps, min_samples=min_samples)).select(
-            F.lit(float(eps)).alias("eps"), "*")
-        result = row if result is None else result.unionByName(row)
-    return result
-
-
-def k_distance(points: DataFrame, *, k: int = 16, start: float = 1.0, tile: int = TILE) -> DataFrame:
-    """``pid, k_distance``: distance to the k-th nearest point, the point itself being the
-    first. Points with too few neighbours in reach are searched again with twice the radius.
-    """
-    points = cut_lineage(points.select("pid", "vec"))
-    distinct = cut_lineage(collapse_copies(points))
-    d = distinct.select(F.size("vec").alias("d")).first()
-    if d is None:
-        return points.select("pid", F.lit(None).cast("double").alias("k_distance"))
-    spans = distinct.agg(
-        F.sum("weight").alias("n"),
-        *[(F.max(F.col("vec")[i]) - F.min(F.col("vec")[i])).alias(f"s{i}") for i in range(d["d"])],
-    ).first()
-    if spans["n"] < k:
-        raise ValueError(f"{k} neighbours wanted, only {spans['n']} points")
-    diameter = float(np.sqrt(sum(spans[f"s{i}"] ** 2 for i in range(d["d"]))))
-
-    def search(home, radius):
-        limit = radius * radius
-
-        def kernel(a, b, d2):
-            weight = b["weight"].to_numpy()
-            rows = []
-            for line in d2:
-                near = np.flatnonzero(line <= limit)
-                near = near[np.argsort(line[near], kind="stable")[:k]]
-                rows.append(np.repeat(np.sqrt(line[near]), np.minimum(weight[near], k))[:k])
-            return pd.DataFrame({"pid": a["pid"], "near": rows})
-
-        found = _over_tiles(home, distinct, radius, grid_dimensions(distinct, radius), tile, kernel,
-                            "pid long, near array<double>")
-        # At most k distances per tile arrive here.
-        return found.groupBy("pid").agg(F.array_sort(F.flatten(F.collect_list("near"))).alias("near"))
-
-    radius, home, done = start, distinct, None
-    while True:
-        found = cut_lineage(search(home, radius).select(
-            "pid", F.try_element_at("near", F.lit(k)).alias("k_distance")))
-        settled = found.where("k_distance is not null")
-        done = settled if done is None else done.unionByName(settled)
-        open_points = found.where("k_distance is null").select("pid")
-        if radius > diameter or open_points.isEmpty():
-            break
-        home = distinct.join(open_points, "pid", "left_semi")
-        radius *= 2
-    by_vector = distinct.join(done, "pid").select("vec", "k_distance")
-    return points.join(by_vector, "vec").select("pid", "k_distance")
-
-
 # ---- Validity and projection -----------------------------------------------------
 
-def silhouette(clustered: DataFrame, *, sample: int = 20_000, seed: int = 42, tile: int = TILE) -> DataFrame:
-    """``pid, cluster, silhouette`` (Euclidean) over a seeded sample of ``pid, cluster, vec``.
+def _silhouettes(chosen: DataFrame, ways: int, *, tile: int = BLOCK) -> DataFrame:
+    """``pid, way, cluster, silhouette`` of ``pid, vec, labels``, for each of ``ways`` labellings.
 
-    The sample is cut into blocks of about ``tile`` points; each pair of blocks is one task's
-    work and leaves one sum of distances per point and cluster. Points alone in their cluster,
-    and all points of a single cluster, have 0.
+    The rows are cut into blocks of about ``tile`` points; each pair of blocks is one task's work
+    and leaves one sum of distances per point, labelling and cluster.
     """
-    chosen = cut_lineage(
-        sample_rows(clustered.select("pid", "cluster", "vec"), n=sample, keys=["pid"], seed=seed))
     blocks = max(1, -(-chosen.count() // tile))
     numbers = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     own = F.pmod(F.xxhash64("pid"), F.lit(blocks)).cast("int")
     rows = chosen.select("pid", "vec", own.alias("i"), numbers.alias("j"))
-    others = chosen.select("cluster", "vec", own.alias("j"), numbers.alias("i"))
+    others = chosen.select("labels", "vec", own.alias("j"), numbers.alias("i"))
 
     def sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({"pid": [], "other": [], "total": []})
-        names, codes = np.unique(b["cluster"].to_numpy(), return_inverse=True)
-        belongs = np.eye(len(names))[codes]
+            return pd.DataFrame({"pid": [], "way": [], "other": [], "total": []})
+        labels = np.stack(b["labels"].to_numpy())
+        kinds = [np.unique(labels[:, w], return_inverse=True) for w in range(ways)]
+        belongs = np.concatenate([np.eye(len(names))[codes] for names, codes in kinds], axis=1)
         total = np.concatenate([
             np.sqrt(_distances2(a.iloc[k:k + 256], b)) @ belongs for k in range(0, len(a), 256)])
-        return pd.DataFrame({"pid": np.repeat(a["pid"].to_numpy(), len(names)),
+        names = np.concatenate([names for names, _ in kinds])
+        which = np.concatenate([np.full(len(names), w) for w, (names, _) in enumerate(kinds)])
+        return pd.DataFrame({"pid": np.repeat(a["pid"].to_numpy(), len(names)), "way": np.tile(which, len(a)),
                              "other": np.tile(names, len(a)), "total": total.ravel()})
 
     totals = rows.groupBy("i", "j").cogroup(others.groupBy("i", "j")).applyInPandas(
-        sums, "pid long, other int, total double").groupBy("pid", "other").agg(F.sum("total").alias("total"))
-    sizes = chosen.groupBy(F.col("cluster").alias("other")).agg(F.count(F.lit(1)).alias("size"))
+        sums, "pid long, way int, other int, total double").groupBy("pid", "way", "other").agg(F.sum("total").alias("total"))
+    labelled = chosen.select("pid", F.posexplode("labels").alias("way", "cluster"))
+    sizes = labelled.groupBy("way", F.col("cluster").alias("other")).agg(F.count(F.lit(1)).alias("size"))
     mine = F.col("cluster") == F.col("other")
-    parts = totals.join(sizes, "other").join(chosen.select("pid", "cluster"), "pid").groupBy("pid", "cluster").agg(
+    parts = totals.join(sizes, ["way", "other"]).join(labelled, ["pid", "way"]).groupBy("pid", "way", "cluster").agg(
         F.max(F.when(mine, F.col("total") / F.greatest(F.col("size") - 1, F.lit(1)))).alias("inner"),
         F.max(F.when(mine, F.col("size"))).alias("size"),
         F.min(F.when(~mine, F.col("total") / F.col("size"))).alias("outer"))
     value = F.try_divide(F.col("outer") - F.col("inner"), F.greatest("inner", "outer"))
-    return parts.select("pid", F.col("cluster").cast("int").alias("cluster"), F.when(
+    return parts.select("pid", "way", F.col("cluster").cast("int").alias("cluster"), F.when(
         F.col("size") > 1, F.coalesce(value, F.lit(0.0))).otherwise(0.0).alias("silhouette"))
 
 
+def silhouette(clustered: DataFrame, *, sample: int = 20_000, seed: int = 42, tile: int = BLOCK) -> DataFrame:
+    """``pid, cluster, silhouette`` (Euclidean) over a seeded sample of ``pid, cluster, vec``.
+
+    Points alone in their cluster, and all points of a single cluster, have 0.
+    """
+    chosen = cut_lineage(sample_rows(clustered.select("pid", "cluster", "vec"), n=sample, keys=["pid"], seed=seed).select(
+        "pid", "vec", F.array(F.col("cluster").cast("int")).alias("labels")))
+    return _silhouettes(chosen, 1, tile=tile).drop("way")
+
+
 def pca2(points: DataFrame) -> DataFrame:
     """First two principal coordinates of centred points; the largest loading is positive."""
     vectors = points.withColumn("_features", array_to_vector("vec"))

@@ -1,7 +1,7 @@
 """Exploratory aggregates over labelled feature tables."""
 
-from itertools import combinations
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,28 +99,63 @@ def density_histogram(df: DataFrame, *, features=HISTOGRAM_FEATURES, bins: int =
     )
 
 
+def _gram_sums(df: DataFrame, features) -> DataFrame:
+    """One row a task: a shift, and for all ordered pairs of features the rows with both values, the
+    sums of the first and of the product over them, relative to the shift."""
+    d = len(features)
+
+    def sums(batches):
+        shift, parts = None, None
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            known = ~np.isnan(x)
+            if shift is None and len(x):
+                # A value of the column itself, so that a constant leaves exact zeros.
+                shift = np.where(known.any(axis=0), x[known.argmax(axis=0), np.arange(d)], 0.0)
+                parts = [np.zeros((d, d)) for _ in range(3)]
+            if len(x):
+                u, here = np.where(known, x - shift, 0.0), known.astype(float)
+                for total, more in zip(parts, (here.T @ here, u.T @ here, u.T @ u)):
+                    total += more
+        if shift is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([list(v.ravel())], pa.list_(pa.float64())) for v in (shift, *parts)], names=["shift", "n", "sx", "sxy"])
+
+    return df.select(*[F.col(f).cast("double").alias(f) for f in features]).mapInArrow(
+        sums, "shift array<double>, n array<double>, sx array<double>, sxy array<double>")
+
+
 def correlation_matrix(df: DataFrame, *, features=NUMERIC_FEATURES, places: int = 2) -> DataFrame:
-    """``feature_a, feature_b, r`` for all ordered pairs, from one aggregate pass.
+    """``feature_a, feature_b, r`` for all ordered pairs, from one pass of matrix products.
 
-    Constant columns have no correlation (null), also with themselves.
+    Each task adds up its Gram matrix around values of its own; the tasks' sums are moved to one
+    shift and added by pair. Missing values leave a row out of their pairs only. Constant
+    columns have no correlation (null), also with themselves.
     """
-    pairs = list(combinations(features, 2))
-
-    def r(a, b):
-        spread = F.stddev_pop(a) * F.stddev_pop(b)
-        return F.round(F.try_divide(F.covar_pop(a, b), spread), places)
-
-    one = df.agg(*[r(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)],
-                 *[F.when(F.stddev_pop(f) > 0, F.lit(1.0)).alias(f"s{i}")
-                   for i, f in enumerate(features)])
-    entries = [
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(c).alias("r"))
-        for i, (x, y) in enumerate(pairs) for a, b, c in ((x, y, f"p{i}"), (y, x, f"p{i}"))
-    ] + [
-        F.struct(F.lit(f).alias("feature_a"), F.lit(f).alias("feature_b"), F.col(f"s{i}").alias("r"))
-        for i, f in enumerate(features)
-    ]
-    return one.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
+    d = len(features)
+    parts = cut_lineage(_gram_sums(df, features))
+    place = F.explode(F.sequence(F.lit(0), F.lit(d * d - 1)))
+    at = parts.select("*", place.alias("k")).withColumns({"i": F.expr(f"k div {d}").cast("int"), "j": (F.col("k") % d).cast("int")})
+    flipped = F.col("j") * d + F.col("i")
+    entries = at.select(
+        "i", "j", F.col("n")[F.col("k")].alias("n"), F.col("sx")[F.col("k")].alias("si"), F.col("sx")[flipped].alias("sj"),
+        F.col("sxy")[F.col("k")].alias("sij"), F.col("shift")[F.col("i")].alias("ci"), F.col("shift")[F.col("j")].alias("cj"))
+    lookup = entries.where("i = j").groupBy("i").agg(F.min("ci").alias("c")).agg(
+        F.map_from_entries(F.collect_list(F.struct("i", "c")))).scalar()
+    di, dj = (F.col(c) - F.try_element_at(lookup, F.col(i)) for c, i in (("ci", "i"), ("cj", "j")))
+    sums = entries.withColumns({"di": di, "dj": dj}).groupBy("i", "j").agg(
+        F.sum("n").alias("n"), F.sum(F.col("si") + F.col("n") * F.col("di")).alias("si"),
+        F.sum(F.col("sj") + F.col("n") * F.col("dj")).alias("sj"),
+        F.sum(F.col("sij") + F.col("di") * F.col("sj") + F.col("dj") * F.col("si") + F.col("n") * F.col("di") * F.col("dj")).alias("sij"))
+    covariance = F.try_divide(F.col("sij"), F.col("n")) - F.try_divide(F.col("si"), F.col("n")) * F.try_divide(F.col("sj"), F.col("n"))
+    table = sums.select("i", "j", covariance.alias("c"))
+    spread = table.where("i = j").select("i", F.when(F.col("c") > 0, F.sqrt("c")).alias("s"))
+    deviations = spread.agg(F.map_from_entries(F.collect_list(F.struct("i", "s")))).scalar()
+    si, sj = (F.try_element_at(deviations, F.col(c)) for c in ("i", "j"))
+    names = F.array(*[F.lit(f) for f in features])
+    r = F.when(F.col("i") == F.col("j"), F.when(si > 0, F.lit(1.0))).otherwise(
+        F.round(F.try_divide(F.col("c"), si * sj), places))
+    return table.select(names[F.col("i")].alias("feature_a"), names[F.col("j")].alias("feature_b"), r.alias("r"))
 
 
 def box_statistics(df: DataFrame, *, features=NUMERIC_FEATURES, q: float = 0.99) -> DataFrame:

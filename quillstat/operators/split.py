@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.state import cut_lineage
 from ..functions.text import hash_unit_key
 from .running import hash_rank, take_smallest
 
@@ -59,7 +60,8 @@ def exact_split(df: DataFrame, *, seed: int = 42, test_size: float = 0.15,
     hash inside their label through hash buckets, so two labels do not mean two tasks.
     """
     check_shares(test_size, validation_size)
-    documents = (
+    # One narrow row a document, stored: ranks and sizes do not read the table again.
+    documents = cut_lineage(
         df.groupBy("doc_id").agg(F.min("label").alias("label"))
         .withColumn("_key", hash_unit_key(F.col("doc_id"), seed=seed))
     )

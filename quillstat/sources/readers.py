@@ -78,7 +78,7 @@ def training_dataset(spark: SparkSession, path: str, *, text_column: str = "text
                      columns: Iterable[str] = ()) -> DataFrame:
     """The table a training run starts from: ``text``, ``label`` and whatever else it has."""
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"Dataset not found: {path}")
+        raise FileNotFoundError(f"no file or folder at {path}")
     if path.lower().endswith(".zip"):
         raw = zipped_csv(spark, path, columns=list(columns) or None, member=zip_member)
     else:

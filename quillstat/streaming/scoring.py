@@ -4,8 +4,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import quality
 from ..operators.scoring import Scorer
-from ..plans.scoring import score_batch
+from ..plans.scoring import score_checked
+from ..sources.readers import spread
 
 
 def score_stream(texts: DataFrame, *, sentence_scorer: Scorer, document_scorer: Scorer,
@@ -20,15 +22,15 @@ def score_stream(texts: DataFrame, *, sentence_scorer: Scorer, document_scorer:
     failure leaves no duplicates.
     """
     def handle(batch: DataFrame, number: int) -> None:
-        kept = batch.persist()
+        # One file is one split: its texts are spread before any work, and checked once for both sinks.
+        checked = quality.admit(spread(batch), **limits).persist()
         try:
-            scored, rejected = score_batch(
-                kept, sentence_scorer=sentence_scorer, document_scorer=document_scorer,
-                id_col=id_col, **limits)
-            for frame, path in ((scored, accepted_path), (rejected, rejected_path)):
+            scored, rejected = score_checked(
+                checked, sentence_scorer=sentence_scorer, document_scorer=document_scorer, id_col=id_col)
+            for frame, path in ((rejected, rejected_path), (scored, accepted_path)):
                 frame.write.mode("overwrite").parquet(f"{path}/batch={number}")
         finally:
-            kept.unpersist()
+            checked.unpersist()
 
     return (
         texts.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
@@ -54,6 +56,30 @@ def outcome_windows(outcomes: DataFrame, *, time: str, code: str, value: str, wi
     )
 
 
+def upsert_windows(windows: DataFrame, *, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keep a table of windows up to date while they are open; ``trigger`` as in ``score_stream``.
+
+    ``windows`` is a stream of ``outcome_windows``. In update mode each micro-batch has the windows
+    it changed. They are written as a partition of their own, overwritten when the micro-batch is
+    replayed; ``latest_windows`` reads the newest row of each window.
+    """
+    def handle(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return (
+        windows.writeStream.outputMode("update").foreachBatch(handle).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True})).start()
+    )
+
+
+def latest_windows(changes: DataFrame, *, code: str) -> DataFrame:
+    """The state of each window and code after the last micro-batch that changed it."""
+    kept = [c for c in changes.columns if c not in ("window_start", code, "batch")]
+    return changes.groupBy("window_start", code).agg(
+        F.max_by(F.struct(*kept), F.col("batch").cast("long")).alias("_w")).select(
+        "window_start", code, *[F.col(f"_w.{c}").alias(c) for c in kept])
+
+
 def append_session_log(entries: DataFrame, *, path: str, checkpoint: str,
                        trigger: dict | None = None) -> StreamingQuery:
     """Append scored checks to a table partitioned by day of arrival; ``trigger`` as in ``score_stream``."""

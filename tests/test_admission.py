@@ -66,3 +66,24 @@ def test_equal_requests_stay_as_many(spark):
     rows = [("a", 0, 7), ("a", 0, 7), ("a", 0, 7)]
     got = admit_requests(table(spark, rows), key="client", time="at", order=["n"], limit=2, window_seconds=60).collect()
     assert len(got) == 3 and sum(r.admitted for r in got) == 2
+
+
+def test_client_without_a_pause_in_spans(spark):
+    """Random requests agree after a while; even ones never do and go through the last resort."""
+    rng = random.Random(4)
+    rows = [("busy", s, n) for n, s in enumerate(sorted(rng.randrange(0, 6000) for _ in range(4000)))]
+    rows += [("even", 2 * n, 10_000 + n) for n in range(1500)] + [(None, 3 * n, 20_000 + n) for n in range(600)]
+    rows += [(f"c{rng.randrange(5)}", rng.randrange(0, 40_000), 30_000 + n) for n in range(300)]
+    events = table(spark, rows).withColumn("note", F.lit("kept")).repartition(5)
+    for limit, span, rounds in ((3, 4, 8), (7, 16, 1), (1, 2, 0)):
+        got = admit_requests(events, key="client", time="at", order=["n"], limit=limit, window_seconds=20,
+                             span_windows=span, rounds=rounds).collect()
+        assert {r.n: r.admitted for r in got} == limiter(rows, limit, 20)
+        assert len(got) == len(rows) and {r.note for r in got} == {"kept"}
+
+
+def test_spans_go_to_many_tasks(spark):
+    rows = [("busy", n // 2, n) for n in range(8000)]
+    out = admit_requests(table(spark, rows), key="client", time="at", order=["n"], limit=5, window_seconds=10, span_windows=20)
+    shares = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(shares) > 1 and max(r["count"] for r in shares) < 8000
