@@ -55,7 +55,8 @@ def count_words(docs: DataFrame, *, damage: int = DAMAGE, least_length: int = LE
             for doc_id, text in zip(*(batch.column(k).to_pylist() for k in (0, 1))):
                 start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
                 for run, n in Counter(_RUN.findall(text or "")).items():
-                    run = run.translate(_TO_LOWER)
+                    if not run.islower():
+                        run = run.translate(_TO_LOWER)
                     h = zlib.crc32(run.encode(), start)
                     if h % damage == 0:
                         at = h % len(run)
@@ -137,10 +138,10 @@ def near_pairs(words: DataFrame, *, least_length: int = LEAST_LENGTH, longest: i
                                              names=["word", "n", "part"])
 
     listed = written(words.mapInArrow(of, "word string, n long, part string").select(
-        F.xxhash64("part").alias("part"), "word", "n"), "gram-lists")
+        F.xxhash64("part").alias("part"), "word", F.length("word").alias("size"), "n"), "gram-lists")
     a, b = listed.alias("a"), listed.alias("b")
-    pairs = a.join(b, (F.col("a.part") == F.col("b.part")) & (F.col("a.word") < F.col("b.word"))).filter(
-        (F.abs(F.length("a.word") - F.length("b.word")) <= 1) & (F.levenshtein("a.word", "b.word", 1) == 1)).select(
+    alike = (F.abs(F.col("a.size") - F.col("b.size")) <= 1) & (F.col("a.word") < F.col("b.word"))
+    pairs = a.join(b, (F.col("a.part") == F.col("b.part")) & alike & (F.levenshtein("a.word", "b.word", 1) == 1)).select(
         F.col("a.word").alias("word"), F.col("a.n").alias("n"), F.col("b.word").alias("other"), F.col("b.n").alias("other_n")).distinct()
     return pairs.select(F.explode(F.array(
         F.struct("word", "n", "other", "other_n"),
