@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import hash_unit_key
 from ..operators import evaluate, models, scoring, split, tfidf
+from ..operators.sentences import split_runtime
+from ..plans import training
 from ..sources import sinks
 from . import sqltext as q
 from .features import TFIDF, sql_split
@@ -85,6 +87,28 @@ def bootstrap_interval(t: Tables):
     return ranges.select("doc_id", F.round("lower", 6).alias("lower"), F.round("upper", 6).alias("upper"))
 
 
+class _StyleScorer:
+    """The fixed model in the place of a trained one."""
+
+    def __call__(self, df, text_col, out, **place):
+        return MODEL(df, text_col, out, **place)
+
+    def score_sentences(self, df):
+        return MODEL(split_runtime(df), "text", "score").select("doc_id", "sent_id", "text", "score")
+
+
+@query("predictions", f"""WITH s AS MATERIALIZED (SELECT * FROM {SCORED_SENTENCES}), m AS (SELECT doc_id, avg(score) AS score, count(*) AS sentences FROM s GROUP BY doc_id)
+    SELECT m.doc_id, round(score, 6) AS score, sentences, CASE WHEN score >= 0.5 THEN 'ai' ELSE 'human' END AS label,
+      round(lower, 6) AS lower, round(upper, 6) AS upper, NULL AS reject_code FROM m JOIN {sql_bootstrap('s')} b ON m.doc_id = b.doc_id
+    UNION ALL SELECT doc_id, NULL, NULL, NULL, NULL, NULL, CASE WHEN c = '' THEN 'EMPTY_TEXT' ELSE 'NO_WORDS' END
+    FROM (SELECT doc_id, coalesce({q.collapse('text')}, '') AS c FROM documents) WHERE NOT regexp_matches(c, '{q.W}')""")
+def predictions(t: Tables):
+    """Every text: its verdict with interval, or why it has none."""
+    verdicts, _, rejected = training.predictions(_StyleScorer(), t.documents.select("doc_id", "text"))
+    found = verdicts.select("doc_id", *[F.round(c, 6).alias(c) for c in ("score", "lower", "upper")], "sentences", "label")
+    return found.unionByName(rejected.select("doc_id", "reject_code"), allowMissingColumns=True)
+
+
 _BAND = "CASE WHEN score >= 0.9 THEN 'strong' WHEN score >= 0.7 THEN 'moderate' WHEN score >= 0.5 THEN 'low' ELSE 'human' END"
 
 

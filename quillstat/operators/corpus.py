@@ -152,7 +152,9 @@ def document_fingerprints(df: DataFrame, *, span: int = 4096) -> DataFrame:
 
 
 def duplicate_documents(fingerprints: DataFrame) -> DataFrame:
-    """``doc_id`` of every document equal to one with a smaller id."""
+    """``doc_id`` of every document equal to one with a smaller id. The fingerprints, one narrow row a
+    document, are stored, since both sides of the join read them."""
+    fingerprints = cut_lineage(fingerprints)
     firsts = fingerprints.groupBy("fp_a", "fp_b", "tokens").agg(F.min("doc_id").alias("doc_id"))
     return fingerprints.join(firsts, "doc_id", "left_anti").select("doc_id")
 
@@ -188,13 +190,19 @@ def drop_sentence_overlap(df: DataFrame) -> DataFrame:
 
 
 def dedup_audit(df: DataFrame) -> DataFrame:
-    """One row of before/after counts for the two de-duplication steps."""
-    prints = document_fingerprints(df)
-    surviving = df.join(duplicate_documents(prints), "doc_id", "left_anti")
-    texts = surviving.groupBy(text_key(F.col("text")).alias("_key")).agg(
+    """One row of before/after counts for the two de-duplication steps.
+
+    The sentences are stored once, then only their keys are: all counts come from narrow tables.
+    """
+    df = cut_lineage(df.select("doc_id", "sent_id", "label", "text"))
+    prints = cut_lineage(document_fingerprints(df))
+    keyed = df.select("doc_id", "sent_id", "label", text_key(F.col("text")).alias("_key"))
+    surviving = keyed.join(duplicate_documents(prints), "doc_id", "left_anti")
+    texts = surviving.groupBy("_key").agg(
         F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"),
         F.min(F.struct("doc_id", "sent_id")).alias("first"),
     )
+    texts = cut_lineage(texts)
     same = F.col("lo") == F.col("hi")
     by_text = texts.agg(F.struct(
         F.coalesce(F.sum(F.when(~same, F.col("n"))), F.lit(0)).alias("conflicts"),

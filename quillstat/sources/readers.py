@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.constants import LABEL_ALIASES, TEXT_ALIASES
+from ..functions.state import cut_lineage
 from ..operators.quality import require_columns
 
 BASE_SCHEMA = T.StructType([
@@ -33,6 +34,29 @@ def read_table(spark: SparkSession, path: str, *, schema: T.StructType | None =
     return reader.json(path) if kind == "json" else reader.parquet(path)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def quoted_line_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a CSV file has line breaks inside quotes: then some line has an odd number of quotes."""
+    odd = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
+    return not spark.read.text(path).where(odd).isEmpty()
+
+
+def typed_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejected)`` of a CSV with a header: rows that fit the schema, and the text of records
+    that do not, such as one with a word where a number belongs or with too few fields.
+
+    A file without quoted line breaks is split by lines over many tasks; only others are read as a
+    whole. Records are read once and stored, so that both tables come from the same reading.
+    """
+    read = spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])).csv(
+        path, header=True, multiLine=quoted_line_breaks(spark, path), quote='"', escape='"', mode="PERMISSIVE",
+        columnNameOfCorruptRecord=CORRUPT)
+    stored = cut_lineage(read)
+    return stored.where(F.col(CORRUPT).isNull()).drop(CORRUPT), stored.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores on an input with fewer splits than cores, e.g. one small file.
 
@@ -75,14 +99,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def training_dataset(spark: SparkSession, path: str, *, text_column: str = "text",
                      label_column: str = "label", zip_member: str | None = None,
-                     columns: Iterable[str] = ()) -> DataFrame:
-    """The table a training run starts from: ``text``, ``label`` and whatever else it has."""
+                     columns: Iterable[str] = (), schema: T.StructType | None = None,
+                     rejected_path: str | None = None) -> DataFrame:
+    """The table a training run starts from: ``text``, ``label`` and whatever else it has.
+
+    With a ``schema`` a CSV is typed; records that do not fit are left out, and written as a table
+    of their own where ``rejected_path`` is given.
+    """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no file or folder at {path}")
     if path.lower().endswith(".zip"):
         raw = zipped_csv(spark, path, columns=list(columns) or None, member=zip_member)
+    elif schema is not None and ".csv" in path.lower():
+        raw, rejected = typed_csv(spark, path, schema)
+        if rejected_path:
+            rejected.write.mode("overwrite").parquet(rejected_path)
     else:
-        raw = read_table(spark, path)
+        raw = read_table(spark, path, schema=schema)
     require_columns(raw, {text_column, label_column})
     if text_column != "text":
         raw = raw.drop("text").withColumnRenamed(text_column, "text")

@@ -10,7 +10,8 @@ TABLES = ("documents", "labels", "conversations", "events", "embeddings", "bench
 # One query per family; check.py compares all of them.
 NAMES = ("clean_url_injected", "dup_sentences", "admission_codes", "features_sentence", "split_exact",
          "tfidf_weights", "two_level_scores", "robustness_by_attack", "box_stats", "dbscan",
-         "admission_batch", "corpus_document_table", "job_density_clusters")
+         "admission_batch", "corpus_document_table", "job_density_clusters", "eps_sweep", "correlation",
+         "monitor_live", "predictions", "typed_training_scan", "dedup_audit")
 
 
 @pytest.mark.parametrize("name", NAMES)
