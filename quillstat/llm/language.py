@@ -76,13 +76,14 @@ class LanguageModel:
         return self.weights[rows].mean(axis=0) if rows else np.zeros(len(self.langs))
 
     def predict(self, texts):
-        """``(language, score)`` of each text; the score is the posterior of the best language."""
+        """``(language, score, known)`` of each text: the score is the posterior of the best language,
+        ``known`` the share of its words that the model was fitted on."""
         known = len(self.places[0]) if self.places else 0
         rows = number = matrix = None
         for text in texts:
             found = _WORD.findall(text.lower()) if text else []
             if not self.langs or not (any(map(str.isalpha, found)) or any(c.isalpha() for w in found for c in w)):
-                yield UNKNOWN, 0.0
+                yield UNKNOWN, 0.0, 0.0
                 continue
             if rows is None or number > known + CACHE:
                 # Known words have their row already; scores of unseen ones are added behind them.
@@ -100,9 +101,10 @@ class LanguageModel:
                     rows[word] = number
                     number += 1
                 at = [rows[w] for w in found]
+            at = np.array(at)
             total = matrix[at].sum(axis=0)
             best = int(np.argmax(total))
-            yield self.langs[best], float(1 / np.exp(total - total[best]).sum())
+            yield self.langs[best], float(1 / np.exp(total - total[best]).sum()), float((at < known).mean())
 
 
 def fit(labelled: DataFrame, *, draw: Column | None = None, sample_rows: int = SAMPLE_ROWS,
@@ -136,25 +138,28 @@ def fit(labelled: DataFrame, *, draw: Column | None = None, sample_rows: int = S
 
 
 def identify(docs: DataFrame, model: LanguageModel, *, text: str = "text", lang: str = "lang_pred",
-             score: str = "lang_score") -> DataFrame:
-    """``docs`` with two columns more: the language and its posterior, 0 to 1.
+             score: str = "lang_score", known: str | None = None) -> DataFrame:
+    """``docs`` with two columns more: the language and its posterior, 0 to 1; and, if a name is given
+    for it, the share of words that are ``known``. The posterior nears 1 with the length of any
+    text; the share does not, and tells languages that were never learnt.
 
     Null texts and texts without a letter are ``und`` with 0. Equal scores go to the language that
     sorts first. Whole texts are read. An empty table gives none.
     """
-    if {lang, score} & set(docs.columns):
-        raise ValueError(f"docs already has a column {lang} or {score}; choose other names")
-    out = docs.withColumns({lang: F.lit(""), score: F.lit(0.0)})
+    names = [lang, score, *([known] if known else [])]
+    if set(names) & set(docs.columns):
+        raise ValueError(f"docs already has one of the columns {names}; choose other names")
+    out = docs.withColumns({lang: F.lit(""), **{n: F.lit(0.0) for n in names[1:]}})
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def of(batches):
         own = shared.value
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
-            pairs = list(own.predict(t.as_py() for t in texts))
+            found = list(own.predict(t.as_py() for t in texts))
+            added = [pa.array([f[k] for f in found], pa.float64() if k else pa.string()) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in range(batch.num_columns - 2)), pa.array([p[0] for p in pairs], pa.string()),
-                 pa.array([p[1] for p in pairs], pa.float64())], names=batch.schema.names)
+                [*(batch.column(k) for k in range(batch.num_columns - len(names))), *added], names=batch.schema.names)
 
     return out.mapInArrow(of, out.schema)
 

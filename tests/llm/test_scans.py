@@ -102,8 +102,26 @@ def test_language_against_a_plain_scorer(spark, messy, monkeypatch):
     for room in (language.CACHE, 5):
         monkeypatch.setattr(language, "CACHE", room)
         got = list(model.predict(texts))
-        assert [lang for lang, _ in got] == [lang for lang, _ in want]
-        assert [score for _, score in got] == pytest.approx([score for _, score in want], abs=1e-6)
+        assert [g[0] for g in got] == [lang for lang, _ in want]
+        assert [g[1] for g in got] == pytest.approx([score for _, score in want], abs=1e-6)
+        assert all(0 <= g[2] <= 1 for g in got) and got[texts.index(rare[:60])][2] > 0.9
+
+
+def test_pipeline_keeps_columns_and_drops_unlearnt_languages(spark, tmp_path):
+    """Columns named like helpers come through; a long text of words no language has goes, short ones stay."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    extra = {c: F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")) for c in (
+        "_text", "_lang", "_score", "_known", "_spans", "_words", "_n", "_lost", "row", "th", "first")}
+    foreign = " ".join(f"vb{chr(97 + k % 26)}kk{chr(97 + k // 26)}zg" for k in range(300))
+    odd = spark.createDataFrame([(-1, foreign), (-2, "vbakkazg")], "doc_id long, text string")
+    given = docs.withColumns(extra).unionByName(odd, allowMissingColumns=True)
+    kept = {r.doc_id: r for r in corpus_pipeline.identified(spark, given, folder).collect()}
+    assert -1 not in kept and -2 in kept and set(kept) >= {r.doc_id for r in docs.filter("length(text) > 40").collect()}
+    for stage in (corpus_pipeline.without_repeated_lines, corpus_pipeline.one_of_each_class, corpus_pipeline.without_leaks):
+        out = stage(spark, docs.withColumns(extra), folder)
+        assert out.columns == [*docs.columns, *extra]
+        assert all(r[c] == f"{c} of {r.doc_id}" for r in out.collect() for c in extra)
 
 
 def test_language(spark, messy, nothing):
