@@ -10,8 +10,16 @@ from pyspark.sql import functions as F
 from quillstat.llm import common, decontaminate, jaccard_join, language, line_dedup, mixing
 from quillstat.session import ship_package
 
-#: A text whose best language has less than this posterior is rejected, as are texts without letters.
-LEAST_SCORE = 0.5
+#: A text of at least so many words is rejected if a smaller share of them is known to the model:
+#: unlike a posterior, the share does not grow with the text. Texts without letters go too.
+LEAST_KNOWN, LEAST_WORDS = 0.1, 20
+
+
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until the table has none of them."""
+    while set(names) & set(docs.columns):
+        names = tuple(f"{n}_" for n in names)
+    return list(names)
 
 
 def identified(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -19,8 +27,10 @@ def identified(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     ship_package(spark)
     model = language.fit(docs.filter(~language.held_out(F.col("doc_id"))).select("lang", "text", "doc_id"),
                          draw=F.xxhash64("doc_id", "text"))
-    out = language.identify(docs, model, lang="_lang", score="_score")
-    return out.filter((F.col("_lang") != language.UNKNOWN) & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
+    lang, score, known = _free(docs, "_lang", "_score", "_known")
+    out = language.identify(docs, model, lang=lang, score=score, known=known)
+    few = F.size(F.split("text", f"[{common.BLANKS}]+", LEAST_WORDS)) < LEAST_WORDS
+    return out.filter((F.col(lang) != language.UNKNOWN) & (few | (F.col(known) >= LEAST_KNOWN))).select(*docs.columns)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -41,18 +51,20 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, folder: str) -> Data
     ship_package(spark)
     classes = jaccard_join.similar_classes(docs)
     lost = classes.filter(~F.col("first")).select(F.col("doc_id").alias("_lost"), F.col("th").alias("_of")).distinct()
-    hashed = docs.withColumn("_text", F.xxhash64("text"))
-    kept = hashed.join(lost, (F.col("_text") == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_lost")), "left_anti")
+    # Rows travel as one column, so that no name of theirs can meet a helper's.
+    rows = docs.select("doc_id", F.xxhash64("text").alias("_text"), F.struct(*docs.columns).alias("_row"))
+    kept = rows.join(lost, (F.col("_text") == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_lost")), "left_anti")
     same = Window.partitionBy("doc_id", "_text").orderBy("_text")
-    return kept.withColumn("_n", F.row_number().over(same)).filter("_n = 1").select(*docs.columns)
+    return kept.withColumn("_n", F.row_number().over(same)).filter("_n = 1").select("_row.*")
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents in which no window of a benchmark item stands."""
     ship_package(spark)
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
-    found = decontaminate.find_leaks(docs, items, spans="_spans", words="_words")
-    return found.filter(F.size("_spans") == 0).select(*docs.columns)
+    spans, words = _free(docs, "_spans", "_words")
+    found = decontaminate.find_leaks(docs, items, spans=spans, words=words)
+    return found.filter(F.size(spans) == 0).select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
