@@ -28,14 +28,14 @@ _LINE = ("gid int, node binary, place struct<doc_id: long, th: long, twin: long,
 _PLACE = pa.struct([(k, pa.int64()) for k in ("doc_id", "th", "twin", "line")])
 
 
-def line_sets(rows: pa.Table, width: int, short: bool):
+def line_sets(rows: pa.Table, width: int):
     """``(hashes, bounds, digests, row of each line, number of the line in it)``."""
     parts, sizes, owner, number = [], [], [], []
     for row, data, offsets in text_slices(rows["text"]):
         breaks = np.flatnonzero(data == 10)
         counts = np.diff(np.searchsorted(breaks, offsets)) + 1
         edges = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
-        hashes, bounds = shingle_sets(data, np.append(edges, len(data)), width, short=short)
+        hashes, bounds = shingle_sets(data, np.append(edges, len(data)), width, short=True)
         parts.append(hashes)
         sizes.append(np.diff(bounds))
         owner.append(np.repeat(np.arange(row, row + len(counts)), counts))
@@ -64,13 +64,13 @@ def _distinct(digest: np.ndarray, sizes: np.ndarray, buckets: int) -> tuple[np.n
     return chosen[order], bucket[order]
 
 
-def earliest(groups: DataFrame, width: int, short: bool) -> DataFrame:
+def earliest(groups: DataFrame, width: int) -> DataFrame:
     """``gid, bucket, counts``: 1 where a group holds the earliest of equal lines, in its own order."""
     buckets = deal.buckets(groups.sparkSession)
 
     def send(rows: pa.Table) -> pa.Table:
         rows = deal.in_order(rows)
-        _, bounds, digest, owner, number = line_sets(rows, width, short)
+        _, bounds, digest, owner, number = line_sets(rows, width)
         chosen, bucket = _distinct(digest, np.diff(bounds), buckets)
         edges = np.searchsorted(bucket, np.arange(buckets + 1))
         used = np.flatnonzero(np.diff(edges))
@@ -111,9 +111,9 @@ def _several_tokens(sizes: np.ndarray, percent: int) -> np.ndarray:
     return (sizes > 1) | (2 * percent <= 100)
 
 
-def features(width: int, percent: int, buckets: int, short: bool):
+def features(width: int, percent: int, buckets: int):
     def of(rows: pa.Table, flags: pa.Table):
-        hashes, bounds, digest, _, _ = line_sets(rows, width, short)
+        hashes, bounds, digest, _, _ = line_sets(rows, width)
         sizes = np.diff(bounds)
         keep = _firsts(digest, sizes, flags, buckets) & _several_tokens(sizes, percent)
         distinct, counts = np.unique(hashes[np.repeat(keep, sizes)], return_counts=True)
@@ -121,12 +121,12 @@ def features(width: int, percent: int, buckets: int, short: bool):
     return of
 
 
-def candidate_lines(width: int, percent: int, buckets: int, short: bool):
+def candidate_lines(width: int, percent: int, buckets: int):
     """Earliest lines that may resemble others; a row without node has all lines that equal an earlier one."""
     def of(rows: pa.Table, answers: pa.Table) -> pa.Table:
         gid = (rows if len(rows) else answers)["gid"][0].as_py()
         rows = deal.in_order(rows)
-        hashes, bounds, digest, owner, number = line_sets(rows, width, short)
+        hashes, bounds, digest, owner, number = line_sets(rows, width)
         sizes = np.diff(bounds)
         kinds = answers["kind"].to_numpy()
         keep = _firsts(digest, sizes, answers.filter(pa.array(kinds == 0)), buckets)
@@ -208,13 +208,13 @@ def without_lines(rows: pa.Table, gone: pa.Table) -> pa.Table:
                     names=["doc_id", "text", "rest", "n_lines", "n_removed"])
 
 
-def dedup_lines(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, short: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Every row of ``docs`` without its later matches: ``doc_id, text, rest, n_lines, n_removed``.
 
     Lines are cut at ``\\n``. A line goes when an earlier one, by (doc_id, hash of the text, line
     number) and judged on the input, has a Jaccard similarity of ``percent`` of distinct shingles
-    of ``width`` words, equal ones included. Lines of fewer words stay, or with ``short`` go when an
-    earlier one has the same words; lines without words always stay.
+    of ``width`` words, equal ones included. A line of fewer words goes when an earlier one has the
+    same words; lines without words always stay.
     ``rest`` holds all other columns, whatever their names. Null text has no lines and stays null;
     a text can become empty; null ids come last; of repeated rows the first in the order is the
     earlier. Equal ids with different texts are ordered by a hash of the text.
@@ -225,11 +225,11 @@ def dedup_lines(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT,
     parts = deal.buckets(spark)
     groups = kept.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text", "rest")
     groups = groups.select(F.pmod(F.xxhash64("doc_id", "th"), F.lit(parts)).cast("int").alias("gid"), "*")
-    flags = earliest(groups, width, short)
-    answers = deal.ask(groups, features(width, percent, parts, short), flags)
+    flags = earliest(groups, width)
+    answers = deal.ask(groups, features(width, percent, parts), flags)
     both = flags.withColumn("kind", F.lit(0)).union(answers.withColumn("kind", F.lit(1)))
     lines = written(groups.groupBy("gid").cogroup(both.groupBy("gid")).applyInArrow(
-        candidate_lines(width, percent, parts, short), _LINE), "lines")
+        candidate_lines(width, percent, parts), _LINE), "lines")
     # words that several distinct lines have in their prefixes, without the tokens of the lines yet
     narrow = lines.select("node", F.explode("prefix").alias("token"))
     shared = narrow.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
@@ -252,5 +252,5 @@ def dedup_lines(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT,
 @query("op6_line_dedup")
 def op6(spark, folder):
     """``doc_id, n_lines, n_removed, kept_sha256`` (lower-case hex of the remaining text)."""
-    return dedup_lines(table(spark, folder, "documents").select("doc_id", "text"), short=True).select(
+    return dedup_lines(table(spark, folder, "documents").select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))

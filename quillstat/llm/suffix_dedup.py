@@ -86,6 +86,11 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0, dtype=kind) + np.repeat((starts - (ends - counts)).astype(kind), counts)
 
 
+def _run_kind(length: int) -> type:
+    """Of the numbers of windows of an excerpt, at most one for each byte of ``length``."""
+    return np.uint8 if length < 256 else np.uint32
+
+
 def excerpts(length: int, width: int, number: int):
     """A group's distinct excerpts with repeated anchors, and where they stand, by bucket."""
     def of(rows: pa.Table, answers: pa.Table) -> pa.Table:
@@ -126,7 +131,7 @@ def excerpts(length: int, width: int, number: int):
             one, last = own[0], heads[b] if b < len(heads) else len(hashes)
             text = data[ranges(start[own], runs[own] + length - 1)]
             block = (hashes[own] & np.uint64(0xFF)).astype(np.uint8)  # equal anchors, equal blocks
-            out.append((gid, int(bucket[one]), block.tobytes(), runs[own].astype(np.uint8).tobytes(), text.tobytes(),
+            out.append((gid, int(bucket[one]), block.tobytes(), runs[own].astype(_run_kind(length)).tobytes(), text.tobytes(),
                         times[a:b].astype(np.uint32).tobytes(), row[one:last].astype(np.uint32).tobytes(),
                         ids[row[one:last]].astype(np.int64).tobytes(), place[one:last].astype(np.uint32).tobytes()))
         return pa.Table.from_arrays([pa.array([r[k] for r in out], pa.int32() if k < 2 else pa.binary()) for k in range(9)],
@@ -222,7 +227,7 @@ def spans(length: int):
         def all_of(name: str, kind) -> np.ndarray:
             return np.frombuffer(b"".join(rows[name].to_pylist()), kind)
 
-        blocks, runs, times = all_of("blocks", np.uint8), all_of("starts", np.uint8).astype(np.int64), all_of("counts", np.uint32).astype(np.int64)
+        blocks, runs, times = all_of("blocks", np.uint8), all_of("starts", _run_kind(length)).astype(np.int64), all_of("counts", np.uint32).astype(np.int64)
         raw, row, docs, places = all_of("bytes", np.uint8), all_of("rows", np.uint32), all_of("docs", np.int64), all_of("places", np.uint32)
         groups = np.repeat(rows["gid"].to_numpy(), [len(x) // 4 for x in rows["rows"].to_pylist()])
         sizes = runs + length - 1

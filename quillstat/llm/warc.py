@@ -222,6 +222,11 @@ _RECORD = [("shard", "int"), ("offset", "long"), ("type", "string"), ("page_id",
 _ARROW = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
 
 
+def shard_of(path: str) -> int:
+    """The number of a part file, which has five digits or more."""
+    return int(path.rsplit("/part-", 1)[1].split("-", 1)[0])
+
+
 def read_records(spark, folder: str, *, payloads: bool = True) -> DataFrame:
     """``shard, offset, type, page_id, refers_to, uri, digest, payload_bytes, payload`` read from the
     members themselves, each inflated alone; a member that is no record of its own fails the job.
@@ -233,7 +238,7 @@ def read_records(spark, folder: str, *, payloads: bool = True) -> DataFrame:
         def rows():
             for batch in batches:
                 for path, content in zip(batch.column(0), batch.column(1)):
-                    shard, content, at = int(path.as_py().rsplit("/part-", 1)[1][:5]), memoryview(content.as_buffer()), 0
+                    shard, content, at = shard_of(path.as_py()), memoryview(content.as_buffer()), 0
                     while at < len(content):
                         machine, parts, end, step = zlib.decompressobj(31), [], at, CHUNK // 32
                         while not machine.eof:

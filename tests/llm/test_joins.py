@@ -88,7 +88,7 @@ def kept_lines(rows):
     for r in rows:
         kept = []
         for line in [] if r.text is None else r.text.split("\n"):
-            own = shingle_set(words(line), False)
+            own = shingle_set(words(line), True)
             if not any(similar(own, s) for s in seen):
                 kept.append(line)
             if own:
@@ -158,6 +158,16 @@ def test_repeats(spark, messy, nothing, monkeypatch):
     assert suffix_dedup.remove_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("length", [200, 300, 700])
+def test_repeats_of_long_strings(spark, length):
+    draw = np.random.default_rng(length)
+    copied = "".join(chr(97 + k) for k in draw.integers(0, 26, 2700))
+    noise = ["".join(chr(97 + k) for k in draw.integers(0, 26, 400)) for _ in range(4)]
+    docs = spark.createDataFrame([(1, noise[0] + copied + noise[1]), (2, noise[2] + copied + noise[3]), (3, copied[:length - 1])], "doc_id long, text string")
+    found = {r.doc_id: (r.n_removed, r.spans) for r in suffix_dedup.remove_repeats(docs, length=length).collect()}
+    assert found == {1: (0, []), 2: (2700, [[400, 3100]]), 3: (0, [])}
+
+
 def test_two_stage_order():
     draw = np.random.default_rng(5)
     parts = [draw.integers(1, 4, 60) for _ in range(40)] + [np.full(60, 3), np.full(60, 3), np.full(60, 1)]

@@ -54,6 +54,10 @@ def test_leaks(spark, messy, nothing, monkeypatch):
         decontaminate.find_leaks(messy, items, spans="gid")
 
 
+def test_numbers_of_part_files():
+    assert [warc.shard_of(f"file:/x/part-1/kind=warc/part-{n}-abc-c000.warc") for n in ("00007", "99999", "123456")] == [7, 99_999, 123_456]
+
+
 def spoken(texts, labelled):
     """Scores of whole texts with plain dictionaries, one word after the other."""
     shares, langs = {}, sorted({lang for lang, _ in labelled})
@@ -254,7 +258,7 @@ def test_archives(spark, monkeypatch):
     assert sorted(r.type for r in records if r.page_id == 7) == ["response", "response"]
     assert sorted((r.type, r.refers_to or 0) for r in records if r.page_id is None) == [("response", 0), ("revisit", 4)]
     # files are plain gzip of several members; the index finds each alone
-    files = {int(p.rsplit("/part-", 1)[1][:5]): bytes(c) for p, c in spark.read.format("binaryFile").load(f"{second}/kind=warc").select("path", "content").collect()}
+    files = {warc.shard_of(p): bytes(c) for p, c in spark.read.format("binaryFile").load(f"{second}/kind=warc").select("path", "content").collect()}
     for r in index:
         text = gzip.decompress(files[r.shard][r.offset:r.offset + r.length])
         assert text.startswith(b"WARC/1.1\r\n") and text.endswith(b"\r\n\r\n")
