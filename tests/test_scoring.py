@@ -8,6 +8,13 @@ from quillstat.operators.scoring import StyleModel
 MODEL = StyleModel({"avg_word_len": 1.0, "upper_letter_ratio": 2.0}, -4.0)
 
 
+def test_margin_of_zero_is_half(spark):
+    """Mean word length 7, all words long, 3.875 bits a character: -4.2 + 2 + 3.1 - 0.9 = 0."""
+    model = StyleModel({"avg_word_len": -0.6, "complex_word_ratio": 2.0, "char_entropy": 0.8}, -0.9)
+    frame = spark.createDataFrame([("Chêtion ierçaux.",), ("Ungpfte lichber.",)], "text string")
+    assert [r.p for r in model(frame, "text", "p").collect()] == [0.5, 0.5]
+
+
 def test_bootstrap_edges_and_spread(spark):
     rng = np.random.default_rng(0)
     rows = [("one", 0, 0.4), ("nan", 0, 0.4), ("nan", 1, float("nan")), ("flat", 0, 0.3), ("flat", 1, 0.3)]
