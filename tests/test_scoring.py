@@ -125,3 +125,15 @@ def test_variants_and_summary(spark):
     nothing = robustness.robustness_summary(rows.where("false")).first()
     assert nothing.attacked_variants == 0 and nothing.evasion_success_rate_before_defence is None
     assert robustness.clean_controls(frame, MODEL).first().clean_control_prediction_changes == 0
+
+
+def test_texts_that_fold_back_are_scored_once(spark):
+    counted = []
+
+    def scorer(df, column, out):
+        counted.append(df.where(F.col(column) != "").count())
+        return df.withColumn(out, F.lit(0.9))
+
+    frame = spark.createDataFrame([(1, "A plain sentence."), (2, "Another longer sentence here.")], "sample int, text string")
+    assert robustness.robustness_rows(frame, scorer).count() == 8
+    assert sum(counted) == 2 + 8

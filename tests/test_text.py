@@ -5,7 +5,7 @@ import unicodedata
 import regex
 from pyspark.sql import functions as F
 
-from quillstat.functions import chars, text as tx
+from quillstat.functions import chars, style, text as tx
 from quillstat.functions.constants import CONFUSABLES
 from quillstat.operators import cleaning, quality, sentences
 
@@ -121,3 +121,15 @@ def test_normalising_twice_changes_nothing(one):
     texts = ["Ｃоm​prе x", "a b\x07", "plain"]
     once = one(tx.security_normalise, texts)
     assert one(tx.security_normalise, once) == once
+
+
+def test_counted_words_are_those_of_the_expressions(spark):
+    """Few and many kinds of characters, blanks of all kinds, no word, no text."""
+    many = "".join(chr(c) + (" " if c % 7 == 0 else "") for c in range(0x4E00, 0x4F00))
+    texts = ["\u00dcber \u0130stanbul, \u00fcber_all; the THE of\u00bd", "\u2028 a\xa0b\x1cc\u200bd", "...", "", None, many, "\u0391\u03a3 \u0391\u03a3\u0391"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    low = F.split(F.lower(F.array_join(tx.words(F.col("text")), " ")), " ")
+    got = style.stylometry(frame.withColumn("t", F.col("text")), features=("word_count", "vocab_div_ratio", "avg_word_len"))
+    for r in got.withColumns({"n": F.size(tx.words(F.col("t"))), "kinds": F.size(F.array_distinct(low))}).collect():
+        assert r.word_count == (r.n if r.t is not None else None)
+        assert r.vocab_div_ratio == (r.kinds / r.n if r.n and r.t else 0)
