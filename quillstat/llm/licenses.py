@@ -1,13 +1,16 @@
 """License scans by a positional word index; DataFrame functions only.
 
 The index holds, for each word of the license templates, the templates and positions where it
-stands. A template can only count where its key phrase stands, so each place of the phrase names
-every start of the template that holds it, for each template of a file alike, and the IDF of all
-words found in place against that of the whole template is the score. A label needs half of it.
+stands. For each template a file looks up its words of highest IDF, as many as leave less than a
+label needs; their postings, at equal distance, name starts of the template. The IDF of all words
+found in place against that of the whole template is the score, and a label needs half of it. The
+key phrase is verified last. Files without a label look up their other words too, for their score.
 Document frequencies count all documents.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, query, table, written
@@ -32,10 +35,6 @@ TEMPLATES = (
 LOOKUPS, SHARE = 8, 0.5
 #: What separates words, as a Java class; all characters beyond ASCII belong to words.
 _GAPS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-#: Stands in no word.
-_MARK = "\x01"
-#: Where any mandatory or base phrase can be: a cheap test before the exact ones.
-_HINT = "(?i)licen[sc]e|cc[^0-9a-z]+by|redistribution|permission"
 
 
 def index_rows(templates=TEMPLATES) -> list[tuple[int, str, int]]:
@@ -69,14 +68,21 @@ def scan(docs: DataFrame, *, keys: tuple[str, ...] = ("doc_id",), templates=TEMP
     """
     spark = docs.sparkSession
     safe = F.coalesce(F.col("text"), F.lit(""))
-    names = sorted({w for _, w, _ in index_rows(templates)})
+    phrases = [key.split() for _, _, key in templates]
+    names = sorted({w for _, w, _ in index_rows(templates)} | {w for p in (*phrases, *map(str.split, PHRASES)) for w in p})
     vocabulary = F.array(*map(F.lit, names))
     words = F.split(F.lower(safe), _GAPS)
+
+    def holds(phrase: list[str]) -> Column:
+        return F.size(F.array_except(F.array(*map(F.lit, phrase)), "_known")) == 0
+
     rows = docs.select(*keys, safe.alias("_safe"), words.alias("_words")).select(
-        F.monotonically_increasing_id().alias("_row"), *keys,
+        F.monotonically_increasing_id().alias("_row"), *keys, "_words",
         F.size(F.array_remove("_words", "")).cast("long").alias("n_words"),
-        F.array_intersect("_words", vocabulary).alias("_known"),
-        F.when(F.col("_safe").rlike(_HINT), F.concat(F.lit(" "), F.btrim(F.array_join("_words", " ")), F.lit(" "))).alias("_flat"))
+        F.array_intersect("_words", vocabulary).alias("_known"))
+    # texts are kept where all words of a base phrase or of a template's key phrase stand anywhere
+    wanted = reduce(Column.__or__, [holds(p) for p in (*phrases, *map(str.split, PHRASES))])
+    rows = rows.withColumn("_flat", F.when(wanted, F.concat(F.lit(" "), F.btrim(F.array_join("_words", " ")), F.lit(" ")))).drop("_words")
     rows = written(rows, "license-rows")
     total = rows.count()
     frequency = rows.select(F.explode("_known").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
@@ -84,27 +90,44 @@ def scan(docs: DataFrame, *, keys: tuple[str, ...] = ("doc_id",), templates=TEMP
     idf = F.round(F.log(F.lit(1.0 + total) / (1.0 + F.coalesce("df", F.lit(0)))) + 1, 6)
     index = written(index.join(frequency, "word", "left").select("template", "word", "position", idf.alias("idf")), "license-index")
     weights = index.groupBy("template").agg(F.sum("idf").alias("whole"))
-    # files by the templates whose key phrase they hold, the phrase's first word marked at each of its places
-    marked = [F.when(F.contains("_flat", F.lit(f" {key} ")), F.struct(
-        F.lit(t).alias("template"), F.lit(len(text.split()) - len(key.split())).alias("room"),
-        F.regexp_replace("_flat", f"(?<= )(?={key} )", _MARK).alias("text"))) for t, (_, text, key) in enumerate(templates)]
-    held = rows.filter("_flat is not null").select("_row", "_flat", F.array_compact(F.array(*marked)).alias("held"))
-    held = held.filter(F.size("held") > 0)
-    found = held.select("_row", F.posexplode(F.split(F.btrim("_flat"), " ")).alias("at", "word"))
-    keyed = held.select("_row", F.explode("held").alias("one")).select(
-        "_row", "one.template", "one.room", F.posexplode(F.split(F.btrim("one.text"), " ")).alias("at", "word"))
-    # a text that begins inside a template starts before its first word
-    starts = keyed.filter(F.startswith("word", F.lit(_MARK))).select(
-        "_row", "template", F.explode(F.sequence(F.col("at") - F.col("room"), "at")).alias("start")).distinct()
-    texts = _values(spark, [(t, label) for t, (label, _, _) in enumerate(templates)], ["template", "label"])
-    return _finish(rows, starts, index, weights, texts, found, keys, share)
-
-
-def _finish(rows, starts, index, weights, texts, found, keys, share):
-    expected = starts.join(index, "template").select("_row", "template", "start", "word", "idf", (F.col("start") + F.col("position")).alias("at"))
+    texts = _values(spark, [(t, label, len(text.split()), f" {key} ") for t, (label, text, key) in enumerate(templates)],
+                    ["template", "label", "n", "key"])
+    possible = F.array_compact(F.array(*[F.when(holds(p), F.lit(t)) for t, p in enumerate(phrases)]))
+    held = rows.filter("_flat is not null").select("_row", "_known", "_flat", possible.alias("_templates")).filter(F.size("_templates") > 0)
+    found = held.select("_row", "_known", F.posexplode(F.split(F.btrim("_flat"), " ")).alias("at", "word")).filter(
+        F.array_contains("_known", F.col("word"))).drop("_known")
+    # a file's words of each template by IDF; what is left from a word on, itself included
+    known = held.select("_row", "_known", F.explode("_templates").alias("template")).select(
+        "_row", "template", F.explode("_known").alias("word"))
+    gains = index.groupBy("template", "word").agg(F.max("idf").alias("idf"), F.sum("idf").alias("gain"))
+    onward = Window.partitionBy("_row", "template").orderBy("idf", F.desc("word")).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = known.join(F.broadcast(gains), ["template", "word"]).withColumn("_left", F.sum("gain").over(onward)).join(
+        F.broadcast(weights), "template")
+    ranked = written(ranked.select("_row", "template", "word", (F.col("_left") >= F.col("whole") * (share - 1e-6)).alias("rare")), "license-words")
+    rare = _placed(ranked.filter("rare"), index, weights, texts, found, held).filter(F.col("score") >= share)
+    rare = written(rare, "license-labels")
+    rest = ranked.join(rare.select("_row").distinct(), "_row", "left_anti")
+    scored = rare.unionByName(_placed(rest, index, weights, texts, found, held))
+    return _finish(rows, scored, keys, share)
+
+
+def _placed(looked_up, index, weights, texts, found, held):
+    """``_row, label, score`` of the starts of templates that the looked-up words name and that hold the key phrase."""
+    starts = looked_up.select("_row", "template", "word").join(found, ["_row", "word"]).join(
+        F.broadcast(index.drop("idf")), ["template", "word"]).select(
+        "_row", "template", (F.col("at") - F.col("position")).alias("start")).distinct()
+    expected = starts.join(F.broadcast(index), "template").select(
+        "_row", "template", "start", "word", "idf", (F.col("start") + F.col("position")).alias("at"))
     hits = expected.join(found, ["_row", "at", "word"]).groupBy("_row", "template", "start").agg(F.sum("idf").alias("part"))
-    scored = hits.join(weights, "template").join(texts, "template").select(
+    first = F.greatest("start", F.lit(0))
+    window = F.slice(F.split(F.btrim("_flat"), " "), first + 1, F.col("start") + F.col("n") - first)
+    phrase = F.contains(F.concat(F.lit(" "), F.array_join(window, " "), F.lit(" ")), F.col("key"))
+    return hits.join(F.broadcast(weights), "template").join(F.broadcast(texts), "template").join(
+        held.select("_row", "_flat"), "_row").filter(phrase).select(
         "_row", "label", F.round(F.col("part") / F.col("whole"), 6).alias("score"))
+
+
+def _finish(rows, scored, keys, share):
     best = scored.groupBy("_row").agg(
         F.max("score").alias("score"), F.collect_set(F.when(F.col("score") >= share, F.col("label"))).alias("_more"))
     text, base = F.col("_flat"), {p: _count(F.col("_flat"), p) for p in PHRASES}

@@ -185,6 +185,21 @@ def test_several_licenses_in_a_file(spark):
         assert got[k].labels == ",".join(sorted(labels)) and abs(got[k].score - best) < 2e-6
 
 
+def test_licenses_by_templates_of_ones_own(spark):
+    """No fixed pre-test: starts come from the words of the templates given."""
+    body = "this software is provided as is without any express or implied warranty"
+    own = (("zlib", body, "without any express or implied warranty"), *licenses.TEMPLATES)
+    rows = [(1, body), (2, f"Note. {body.upper()}, and under CC BY 4.0"), (3, "implied warranty without any express"), (4, "mit " + body[5:]),
+            (5, "without any express or implied warranty")]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), templates=own).collect()}
+    # the key phrase alone weighs less than a half, since three files have them
+    assert {k: r.labels for k, r in got.items()} == {1: "zlib", 2: "zlib", 3: "", 4: "zlib", 5: ""} | {2: got[2].labels}
+    assert "zlib" in got[2].labels.split(",") and got[1].score == got[2].score == 1 and got[3].score == 0
+    # less than a label needs is still a score
+    few = {r.doc_id: r for r in licenses.scan(spark.createDataFrame([(1, "apache license"), (2, "other")], "doc_id long, text string")).collect()}
+    assert 0 < few[1].score < licenses.SHARE and few[1].labels == "apache" and few[2].score == 0
+
+
 def test_quality(spark, messy, nothing):
     rows = messy.collect()
     want = []
