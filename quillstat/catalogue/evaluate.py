@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.state import cut_lineage
 from ..functions.text import hash_unit_key
 from ..operators import evaluate, models, scoring, split, tfidf
 from ..operators.sentences import split_runtime
@@ -174,7 +175,8 @@ def model_select(t: Tables):
     FROM {_METRICS} WHERE split IN ('test', 'validation')""")
 def level_upsert(t: Tables):
     """Old rows of both units are there; the test rows replace those of one unit."""
-    metrics = evaluate.binary_metrics(_predicted(t)).select("model", "split", "f1")
+    # Six rows, stored: they are read three times, and each reading would score all sentences again.
+    metrics = cut_lineage(evaluate.binary_metrics(_predicted(t)).select("model", "split", "f1"))
     previous = metrics.where("split = 'validation'").withColumn("unit", F.lit("sentence")).unionByName(
         metrics.where("split = 'train'").withColumn("unit", F.lit("document")))
     new = metrics.where("split = 'test'").withColumn("unit", F.lit("document"))

@@ -137,3 +137,10 @@ def test_texts_that_fold_back_are_scored_once(spark):
     frame = spark.createDataFrame([(1, "A plain sentence."), (2, "Another longer sentence here.")], "sample int, text string")
     assert robustness.robustness_rows(frame, scorer).count() == 8
     assert sum(counted) == 2 + 8
+
+
+def test_upsert_reads_the_stored_metrics(spark):
+    from quillstat.catalogue import QUERIES
+
+    plan = QUERIES["level_upsert"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan
