@@ -262,7 +262,8 @@ def similar_classes(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
         F.lit("all "), F.pmod(F.xxhash64("label"), F.lit(deal.buckets(spark))),
     )).otherwise(F.concat_ws(" ", F.hex("label"), F.least("own", "other"), F.greatest("own", "other"))).alias("task"))
     joined = sets.select("node", "gid", "tokens").join(placed, ["node", "gid"]).select("task", "comp", "node", "tokens")
-    links = joined.groupBy("task").applyInArrow(forest(percent), "a binary, b binary")
+    # Written, because the components read their edges twice.
+    links = written(joined.groupBy("task").applyInArrow(forest(percent), "a binary, b binary"), "links")
     labels = components(links)
     last = F.lit((1 << 63) - 1)  # null ids come after all others
     place = F.struct(F.coalesce("doc_id", last).alias("doc_id"), "th")

@@ -200,3 +200,28 @@ def test_shingles_equal_in_any_slice(monkeypatch):
 def test_components(spark, edges):
     found = components(spark.createDataFrame(edges, "a string, b string")).collect()
     assert {r.label for r in found} == ({"000"} if len(edges) == 200 else set()) and len(found) in (0, 201)
+
+
+def test_sets_are_joined_once(spark, tmp_path, monkeypatch):
+    import uuid
+
+    from quillstat.llm import jaccard_join
+
+    folder, join = str(tmp_path), jaccard_join.forest
+
+    def noted(percent):
+        of = join(percent)
+
+        def noting(rows):
+            with open(f"{folder}/{rows['task'][0].as_py().replace(' ', '-')}_{uuid.uuid4().hex}", "w"):
+                return of(rows)
+        return noting
+
+    monkeypatch.setattr(jaccard_join, "forest", noted)
+    words = [f"w{i}" for i in range(60)]
+    texts = [(k, " ".join(words[:55] + [f"x{k}"])) for k in range(6)] + [(9, " ".join(f"y{i}" for i in range(30)))]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.similar_classes(frame).collect()}
+    assert got == {**{k: 0 for k in range(6)}, 9: 9}
+    tasks = [f.name.split("_")[0] for f in tmp_path.iterdir()]
+    assert tasks and len(tasks) == len(set(tasks))
